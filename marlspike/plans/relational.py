@@ -248,10 +248,10 @@ def cln_epoch_normalise(spark, sf):
 @query("prf_describe", """
     WITH v AS (SELECT value, (props::JSON->>'$.k')::BIGINT AS k, user_id FROM events)
     SELECT * FROM (
-      SELECT 'value' AS "column", count(value) AS count, round(avg(value), 6) AS mean,
-             round(stddev_samp(value), 6) AS stddev, min(value)::DOUBLE AS min, max(value)::DOUBLE AS max FROM v
-      UNION ALL SELECT 'k', count(k), round(avg(k), 6), round(stddev_samp(k), 6), min(k)::DOUBLE, max(k)::DOUBLE FROM v
-      UNION ALL SELECT 'user_id', count(user_id), round(avg(user_id), 6), round(stddev_samp(user_id), 6),
+      SELECT 'value' AS "column", count(value) AS count, round(avg(value), 9) AS mean,
+             round(stddev_samp(value), 9) AS stddev, min(value)::DOUBLE AS min, max(value)::DOUBLE AS max FROM v
+      UNION ALL SELECT 'k', count(k), round(avg(k), 9), round(stddev_samp(k), 9), min(k)::DOUBLE, max(k)::DOUBLE FROM v
+      UNION ALL SELECT 'user_id', count(user_id), round(avg(user_id), 9), round(stddev_samp(user_id), 9),
              min(user_id)::DOUBLE, max(user_id)::DOUBLE FROM v)
 """)
 def prf_describe(spark, sf):
@@ -259,7 +259,7 @@ def prf_describe(spark, sf):
         "value", F.get_json_object("props", "$.k").cast("bigint").alias("k"), "user_id"
     )
     return R.describe(e, ["value", "k", "user_id"]).select(
-        "column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"), "min", "max"
+        "column", "count", F.round("mean", 9).alias("mean"), F.round("stddev", 9).alias("stddev"), "min", "max"
     )
 
 
