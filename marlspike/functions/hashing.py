@@ -27,15 +27,14 @@ def slot(text: Column, slots: Column) -> Column:
     return F.pmod(head, slots)
 
 
-def reverse_bytes(hex_text: Column) -> Column:
-    """Byte-reversed hexadecimal text."""
-    pairs = F.regexp_extract_all(hex_text, F.lit(".."), F.lit(0))
-    return F.array_join(F.reverse(pairs), "")
+def reverse_bytes(hex_text: Column, width: int) -> Column:
+    """Hexadecimal text of ``width`` bytes with the bytes in reverse order."""
+    return F.concat(*[F.substring(hex_text, 2 * i + 1, 2) for i in reversed(range(width))])
 
 
-def little_endian(hex_text: Column) -> Column:
+def little_endian(hex_text: Column, width: int) -> Column:
     """Unsigned little-endian integer of up to seven bytes, as bigint."""
-    return F.conv(reverse_bytes(hex_text), 16, 10).cast("bigint")
+    return F.conv(reverse_bytes(hex_text, width), 16, 10).cast("bigint")
 
 
 def double_sha256(hex_text: Column) -> Column:

@@ -41,7 +41,7 @@ def adjacency(edges: DataFrame) -> DataFrame:
     however many edges the node has. Nodes without out-edges have one row with
     a null segment.
     """
-    e = distinct_edges(edges)
+    e = cut_lineage(distinct_edges(edges))
     lists = (
         e.withColumn("segment", F.floor(F.col("dst") / NEIGHBOURS_PER_SEGMENT))
         .groupBy(F.col("src").alias("node"), "segment")
@@ -76,7 +76,7 @@ def personalized_pagerank(
     partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
         e.join(split, "src", "left").select("src", "dst", slot.alias("slot"))
-        .repartition(partitions, "src", "slot")
+        .repartition(partitions, "src", "slot").sortWithinPartitions("src", "slot")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
@@ -105,7 +105,8 @@ def _step(links: DataFrame, state: DataFrame, sources: Sequence, alpha: float) -
         (F.col("mass") / total / F.col("out_degree")).alias("share"),
         F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
     )
-    received = links.join(shares, ["src", "slot"]).groupBy(F.col("dst").alias("node")).agg(
+    # Merging against the kept order moves the shares only; the edges stay where they are.
+    received = links.join(shares.hint("merge"), ["src", "slot"]).groupBy(F.col("dst").alias("node")).agg(
         F.sum("share").alias("received"))
     return state.select("node", "out_degree", "slots").join(received, "node", "left").select(
         "node", "out_degree", "slots",

@@ -8,11 +8,16 @@ segments of bounded size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
 from marlspike.functions.hashing import slot
+from marlspike.operators.relational import broadcast_if_small
+from marlspike.operators.series import number_rows
+from marlspike.session import cut_lineage
 
 # Tokens taken per line, and the count thresholds of the PMI reports.
 LINE_TOKENS = 40
@@ -20,6 +25,7 @@ PAIR_THRESHOLD = 5
 BIGRAM_THRESHOLD = 10
 
 STRIPE_ENTRIES = 50_000
+LARGE_STRIPES = 1_000_000
 
 
 def words(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
@@ -76,16 +82,18 @@ def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_EN
     """``key -> {item: count}`` in segments of about ``max_entries`` entries.
 
     A key with few items has the single segment 0. A key with more is dealt
-    over as many segments as its item count asks for.
+    over as many segments as its item count asks for, and each segment can be
+    built by a different task. ``counts`` is read twice; pass a materialised one.
     """
-    sizes = counts.groupBy(key).agg(
-        F.ceil(F.count(F.lit(1)) / max_entries).cast("bigint").alias("_slots")
-    ).filter("_slots > 1")
+    large = broadcast_if_small(
+        counts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_entries)
+        .select(key, F.ceil(F.col("_n") / max_entries).alias("_slots")),
+        LARGE_STRIPES,
+    )
+    segment = F.when(F.col("_slots").isNull(), F.lit(0).cast("bigint")).otherwise(slot(F.col(item), F.col("_slots")))
     return (
-        counts.join(sizes, key, "left")
-        .withColumn("segment", F.when(F.col("_slots").isNull(), F.lit(0).cast("bigint"))
-                    .otherwise(slot(F.col(item), F.col("_slots"))))
-        .groupBy(key, "segment")
+        counts.join(large, key, "left")
+        .groupBy(key, segment.alias("segment"))
         .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(item, "count")))).alias("stripe"))
     )
 
@@ -95,13 +103,10 @@ def unnest_stripes(striped: DataFrame, key: str, item: str) -> DataFrame:
 
 
 def stripe_relative_frequencies(counts: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """Relative frequencies normalised from the stripes' own totals."""
-    striped = stripes(counts, "w1", "w2", max_entries).withColumn(
-        "subtotal", F.aggregate(F.map_values("stripe"), F.lit(0).cast("bigint"), lambda a, n: a + n)
-    )
-    totals = striped.groupBy("w1").agg(F.sum("subtotal").alias("total"))
+    """Relative frequencies by dividing each stripe's entries by the stripe's total."""
+    counts = cut_lineage(counts)
     return (
-        striped.join(totals, "w1")
+        stripes(counts, "w1", "w2", max_entries).join(head_totals(counts), "w1")
         .select("w1", "total", F.explode("stripe").alias("w2", "count"))
         .select("w1", "w2", (F.col("count") / F.col("total")).alias("rel_freq"), "count")
     )
@@ -109,66 +114,103 @@ def stripe_relative_frequencies(counts: DataFrame, max_entries: int = STRIPE_ENT
 
 # --- co-occurrence within a line -------------------------------------------
 
-def baskets(lines: DataFrame, max_tokens: int = LINE_TOKENS, whole_lines: bool = False) -> DataFrame:
-    """Distinct tokens of each basket, sorted; baskets with fewer than two are dropped.
+LINE_KEYS = ("doc_id", "line_no")
+
+
+def baskets(lines: DataFrame, max_tokens: int = LINE_TOKENS, whole_lines: bool = False,
+            keys: Sequence[str] = LINE_KEYS) -> DataFrame:
+    """``*keys, part, t``: distinct tokens of each basket; null for fewer than two.
 
     A basket is the first ``max_tokens`` tokens of a line, which is how the
     report defines its lines. ``whole_lines`` cuts a line into consecutive
     windows of ``max_tokens`` tokens instead, so every token of the text is in
     one basket. Either way a basket gives at most max_tokens²/2 pairs.
+
+    A filter on the size would be pushed below the tokenising and repeat it, so
+    small baskets are made null here and vanish when exploded.
     """
-    toks = lines.select(T.letters(F.col("line")).alias("t"))
+    toks = lines.select(*keys, T.letters(F.col("line")).alias("t"))
     if whole_lines:
-        toks = toks.select(F.explode(T.token_windows(F.col("t"), max_tokens)).alias("t"))
+        toks = toks.select(*keys, F.posexplode(T.token_windows(F.col("t"), max_tokens)).alias("part", "t"))
     else:
-        toks = toks.select(T.first_tokens(F.col("t"), max_tokens).alias("t"))
-    return toks.select(F.array_sort(F.array_distinct("t")).alias("t")).filter(F.size("t") > 1)
+        toks = toks.select(*keys, F.lit(0).alias("part"), T.first_tokens(F.col("t"), max_tokens).alias("t"))
+    distinct = F.array_distinct("t")
+    return toks.withColumn("t", F.when(F.size(distinct) > 1, distinct))
 
 
-def cooccurrence(basket: DataFrame) -> DataFrame:
-    """Unordered pairs ``x < y`` with the number of baskets that hold both."""
+def basket_marginals(basket: DataFrame) -> DataFrame:
+    """``token, n``: baskets per token; the empty token stands for all baskets."""
     return (
-        basket.select("t", F.posexplode("t").alias("i", "x"))
-        .select("x", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("y"))
-        .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("count"))
+        basket.select(F.explode(F.array_append("t", F.lit(""))).alias("token"))
+        .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def basket_marginals(basket: DataFrame) -> DataFrame:
-    return basket.select(F.explode("t").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+def cooccurrence(basket: DataFrame, threshold: int, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
+    """Unordered pairs ``x < y`` in at least ``threshold`` baskets: ``x, y, count, n_x, n_y, baskets``.
 
+    A pair is never more frequent than its rarer token, so tokens below the
+    threshold are left out first. The others are numbered in token order, and
+    pairs are counted on the numbers, which keeps the large shuffle narrow.
+    """
+    marginals = cut_lineage(basket_marginals(basket))
+    total = marginals.filter("token = ''").select("n").scalar()
+    frequent = marginals.filter((F.col("token") != "") & (F.col("n") >= threshold))
+    coded = cut_lineage(number_rows(frequent, ["token"], "id"))
+    per_basket = (
+        basket.select(*keys, "part", F.explode("t").alias("token"))
+        .join(broadcast_if_small(coded.select("token", "id")), "token")
+        .groupBy(*keys, "part").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    )
+    pairs = (
+        per_basket.select("ids", F.posexplode("ids").alias("i", "id_x"))
+        .select("id_x", F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("id_y"))
+        .groupBy("id_x", "id_y").agg(F.count(F.lit(1)).alias("count"))
+        .filter(F.col("count") >= threshold)
+    )
+    first = coded.select(F.col("id").alias("id_x"), F.col("token").alias("x"), F.col("n").alias("n_x"))
+    second = coded.select(F.col("id").alias("id_y"), F.col("token").alias("y"), F.col("n").alias("n_y"))
+    return pairs.join(first, "id_x").join(second, "id_y").select(
+        "x", "y", "count", "n_x", "n_y", total.alias("baskets"))
 
-def with_pmi(pairs: DataFrame, x: str, y: str, marginals: DataFrame, total) -> DataFrame:
-    """log10(count · total / (n_x · n_y)) by two marginal look-ups."""
-    mx = marginals.select(F.col("token").alias(x), F.col("n").alias("_nx"))
-    my = marginals.select(F.col("token").alias(y), F.col("n").alias("_ny"))
-    # Dividing twice keeps the product of two large counts out of the formula.
-    ratio = F.col("count").cast("double") / F.col("_nx") * total / F.col("_ny")
-    return pairs.join(mx, x).join(my, y).select(x, y, F.log10(ratio).alias("pmi"), "count")
+
+def pmi(count: Column, n_x: Column, n_y: Column, total: Column) -> Column:
+    """log10(count · total / (n_x · n_y)), divided stepwise so no product of large counts arises."""
+    return F.log10(count.cast("double") / n_x * total / n_y)
+
+
+def _pair_pmi() -> Column:
+    return pmi(F.col("count"), F.col("n_x"), F.col("n_y"), F.col("baskets"))
 
 
 def pmi_pairs(lines: DataFrame, threshold: int = PAIR_THRESHOLD, max_tokens: int = LINE_TOKENS,
               whole_lines: bool = False) -> DataFrame:
-    b = baskets(lines, max_tokens, whole_lines)
-    total = b.agg(F.count(F.lit(1))).scalar()
-    frequent = cooccurrence(b).filter(F.col("count") >= threshold)
-    return with_pmi(frequent, "x", "y", basket_marginals(b), total)
+    pairs = cooccurrence(baskets(lines, max_tokens, whole_lines), threshold)
+    return pairs.select("x", "y", _pair_pmi().alias("pmi"), "count")
 
 
 def pmi_stripes(lines: DataFrame, threshold: int = PAIR_THRESHOLD, max_tokens: int = LINE_TOKENS,
                 whole_lines: bool = False, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """The same values through stripes, which list every pair in both directions."""
-    b = baskets(lines, max_tokens, whole_lines)
-    total = b.agg(F.count(F.lit(1))).scalar()
-    striped = stripes(both_directions(cooccurrence(b)), "x", "y", max_entries)
-    frequent = unnest_stripes(striped, "x", "y").filter(F.col("count") >= threshold)
-    return with_pmi(frequent, "x", "y", basket_marginals(b), total)
+    """The same values through stripes ``x -> {y: count}``, which list every pair in both directions."""
+    pairs = cut_lineage(cooccurrence(baskets(lines, max_tokens, whole_lines), threshold))
+    flip = F.array(F.struct("x", "y", "n_x"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("n_y").alias("n_x")))
+    both = pairs.select(F.explode(flip).alias("p"), "count", "baskets").select("p.*", "count", "baskets")
+    tokens = both.groupBy("x").agg(F.max("n_x").alias("n"), F.max("baskets").alias("baskets"))
+    striped = stripes(both.select("x", "y", "count"), "x", "y", max_entries).join(
+        tokens.withColumnRenamed("n", "n_x"), "x")
+    return (
+        striped.select("x", "n_x", "baskets", F.explode("stripe").alias("y", "count"))
+        .join(tokens.select(F.col("x").alias("y"), F.col("n").alias("n_y")), "y")
+        .select("x", "y", _pair_pmi().alias("pmi"), "count")
+    )
 
 
-def both_directions(pairs: DataFrame) -> DataFrame:
-    flip = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    return pairs.select(F.explode(flip).alias("p"), "count").select("p.x", "p.y", "count")
+def with_pmi(pairs: DataFrame, x: str, y: str, marginals: DataFrame, total: Column) -> DataFrame:
+    """PMI by two look-ups of the marginal counts ``token, n``."""
+    first = marginals.select(F.col("token").alias(x), F.col("n").alias("_nx"))
+    second = marginals.select(F.col("token").alias(y), F.col("n").alias("_ny"))
+    value = pmi(F.col("count"), F.col("_nx"), F.col("_ny"), total)
+    return pairs.join(first, x).join(second, y).select(x, y, value.alias("pmi"), "count")
 
 
 def bigram_pmi(lines: DataFrame, threshold: int = BIGRAM_THRESHOLD,
@@ -188,7 +230,8 @@ def total_bigrams(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
 def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD,
                    max_tokens: int = LINE_TOKENS) -> DataFrame:
     """PMI over raw ordered token pairs (earlier, later) of a line, repeats included."""
-    toks = lines.select(T.first_tokens(T.letters(F.col("line")), max_tokens).alias("t")).filter(F.size("t") > 1)
+    first = T.first_tokens(T.letters(F.col("line")), max_tokens)
+    toks = cut_lineage(lines.select(F.when(F.size(first) > 1, first).alias("t")).filter("t IS NOT NULL"))
     pairs = (
         toks.select("t", F.posexplode("t").alias("i", "x"))
         .select("x", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("y"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
-from marlspike.functions.hashing import slot
 from marlspike.operators import text as X
 from marlspike.operators.spread import spread
 from marlspike.plans.registry import query
+from marlspike.session import cut_lineage
 from marlspike.sources.tables import table
 
 HEAD = "of"
@@ -107,7 +107,7 @@ def fn_string(spark, sf):
 def fn_array(spark, sf):
     return lines(spark, sf).select("doc_id", "line_no", T.letters(F.col("line")).alias("t")).select(
         "doc_id", "line_no", F.size("t").alias("n"), F.size(F.array_distinct("t")).alias("n_distinct"),
-        F.array_join(F.array_sort(F.array_distinct("t")), " ").alias("vocabulary"),
+        F.array_join(F.sort_array(F.array_distinct("t")), " ").alias("vocabulary"),
         F.size(T.adjacent(F.col("t"))).alias("n_bigrams"))
 
 
@@ -201,7 +201,7 @@ SEGMENT_ENTRIES = 500
 """)
 def agg_map_merge(spark, sf):
     """Stripes of bigram followers, hot heads dealt over several segments."""
-    striped = X.stripes(X.bigram_counts(lines(spark, sf)), "w1", "w2", SEGMENT_ENTRIES)
+    striped = X.stripes(cut_lineage(X.bigram_counts(lines(spark, sf))), "w1", "w2", SEGMENT_ENTRIES)
     text = F.transform(F.map_entries("stripe"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
     return striped.select("w1", "segment", F.array_join(text, ",").alias("stripe"), F.size("stripe").alias("entries"))
 
@@ -250,14 +250,14 @@ PMI = """
     WITH {LINES}, {HEAD_TOKS}, {BASKETS} SELECT x, y, count FROM pc WHERE count >= 5
 """)
 def txt_cooc_pairs(spark, sf):
-    return X.cooccurrence(X.baskets(lines(spark, sf))).filter(F.col("count") >= X.PAIR_THRESHOLD)
+    return X.cooccurrence(X.baskets(lines(spark, sf)), X.PAIR_THRESHOLD).select("x", "y", "count")
 
 
 @query("txt_cooc_pairs_whole", f"""
     WITH {LINES}, {WINDOW_TOKS}, {BASKETS} SELECT x, y, count FROM pc WHERE count >= 5
 """)
 def txt_cooc_pairs_whole(spark, sf):
-    return X.cooccurrence(X.baskets(lines(spark, sf), whole_lines=True)).filter(F.col("count") >= X.PAIR_THRESHOLD)
+    return X.cooccurrence(X.baskets(lines(spark, sf), whole_lines=True), X.PAIR_THRESHOLD).select("x", "y", "count")
 
 
 @query("txt_pmi_pairs", f"WITH {LINES}, {HEAD_TOKS}, {BASKETS}, {PMI} SELECT * FROM pmi")
