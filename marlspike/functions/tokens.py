@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,13 @@ def token_windows(tokens: Column, width: int) -> Column:
     last = F.greatest(F.size(tokens) - 1, F.lit(0))
     starts = F.sequence(F.lit(0), F.floor(last / width).cast("int"))
     return F.transform(starts, lambda i: F.slice(tokens, i * width + 1, F.lit(width)))
+
+
+def each(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
+    """One row per array element.
+
+    A plain ``explode`` makes the optimiser add a filter on the array's size and
+    push it towards the scan, where the array has to be built a second time.
+    The outer form adds none; its rows for empty arrays are dropped here.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())

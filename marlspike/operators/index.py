@@ -29,7 +29,7 @@ def line_groups(lines: DataFrame, lines_per_doc: int = LINES_PER_DOC) -> DataFra
 
 def term_frequencies(groups: DataFrame) -> DataFrame:
     return (
-        groups.select("doc_id", "grp", F.explode(T.letters(F.col("line"))).alias("term"))
+        T.each(groups, ["doc_id", "grp"], T.letters(F.col("line")), "term")
         .groupBy("doc_id", "grp", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -29,7 +29,7 @@ LARGE_STRIPES = 1_000_000
 
 
 def words(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    return lines.select(F.explode(T.first_tokens(T.letters(F.col("line")), max_tokens)).alias("token"))
+    return T.each(lines, [], T.first_tokens(T.letters(F.col("line")), max_tokens), "token")
 
 
 def word_count(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
@@ -43,7 +43,7 @@ def top_words(lines: DataFrame, k: int = 10) -> DataFrame:
 def bigrams(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """One row per pair of neighbouring tokens within a line."""
     toks = lines.select(T.first_tokens(T.letters(F.col("line")), max_tokens).alias("t"))
-    return toks.select(F.explode(T.adjacent(F.col("t"))).alias("b")).select("b.w1", "b.w2")
+    return T.each(toks, [], T.adjacent(F.col("t")), "b").select("b.w1", "b.w2")
 
 
 def bigram_counts(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
@@ -131,7 +131,7 @@ def baskets(lines: DataFrame, max_tokens: int = LINE_TOKENS, whole_lines: bool =
     """
     toks = lines.select(*keys, T.letters(F.col("line")).alias("t"))
     if whole_lines:
-        toks = toks.select(*keys, F.posexplode(T.token_windows(F.col("t"), max_tokens)).alias("part", "t"))
+        toks = toks.select(*keys, F.posexplode_outer(T.token_windows(F.col("t"), max_tokens)).alias("part", "t"))
     else:
         toks = toks.select(*keys, F.lit(0).alias("part"), T.first_tokens(F.col("t"), max_tokens).alias("t"))
     distinct = F.array_distinct("t")
@@ -141,7 +141,7 @@ def baskets(lines: DataFrame, max_tokens: int = LINE_TOKENS, whole_lines: bool =
 def basket_marginals(basket: DataFrame) -> DataFrame:
     """``token, n``: baskets per token; the empty token stands for all baskets."""
     return (
-        basket.select(F.explode(F.array_append("t", F.lit(""))).alias("token"))
+        T.each(basket, [], F.array_append("t", F.lit("")), "token")
         .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -158,7 +158,7 @@ def cooccurrence(basket: DataFrame, threshold: int, keys: Sequence[str] = LINE_K
     frequent = marginals.filter((F.col("token") != "") & (F.col("n") >= threshold))
     coded = cut_lineage(number_rows(frequent, ["token"], "id"))
     per_basket = (
-        basket.select(*keys, "part", F.explode("t").alias("token"))
+        T.each(basket, [*keys, "part"], F.col("t"), "token")
         .join(broadcast_if_small(coded.select("token", "id")), "token")
         .groupBy(*keys, "part").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
@@ -249,9 +249,9 @@ def hashed_ngrams(docs: DataFrame, id_col: str, text_col: str, dim: int | None =
 
     toks = docs.select(id_col, T.alphanumerics(F.col(text_col)).alias("t"))
     m = F.greatest(F.size("t") - 1, F.lit(0))
-    unigrams = toks.select(id_col, F.explode("t").alias("gram"))
-    pairs = toks.select(
-        id_col, F.explode(F.arrays_zip(F.slice("t", F.lit(1), m).alias("a"), F.slice("t", F.lit(2), m).alias("b"))).alias("p")
+    unigrams = T.each(toks, [id_col], F.col("t"), "gram")
+    pairs = T.each(
+        toks, [id_col], F.arrays_zip(F.slice("t", F.lit(1), m).alias("a"), F.slice("t", F.lit(2), m).alias("b")), "p"
     ).select(id_col, F.concat_ws("_", "p.a", "p.b").alias("gram"))
     return (
         unigrams.unionByName(pairs)

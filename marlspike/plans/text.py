@@ -44,7 +44,8 @@ BASKETS = """
 
 def lines(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return spread(docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
+    each_line = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    return spread(each_line.filter(F.col("line").isNotNull()))
 
 
 # --- tokens and counts -----------------------------------------------------
