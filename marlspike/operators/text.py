@@ -98,10 +98,6 @@ def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_EN
     )
 
 
-def unnest_stripes(striped: DataFrame, key: str, item: str) -> DataFrame:
-    return striped.select(key, F.explode("stripe").alias(item, "count"))
-
-
 def stripe_relative_frequencies(counts: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
     """Relative frequencies by dividing each stripe's entries by the stripe's total."""
     counts = cut_lineage(counts)
