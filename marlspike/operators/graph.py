@@ -79,6 +79,7 @@ def personalized_pagerank(
         .repartition(partitions, "src", "slot").sortWithinPartitions("src", "slot")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    links.count()  # once filled, the kept table's partitioning is known to the rounds' plans
 
     for _ in range(rounds):
         state = cut_lineage(_step(links, state, sources, alpha))

@@ -497,8 +497,8 @@ def set_distinct(spark, sf):
 """)
 def set_intersect(spark, sf):
     li = table(spark, sf, "lineitem")
-    return li.filter("l_returnflag = 'R'").select("l_orderkey").intersect(
-        li.filter("l_returnflag = 'A'").select("l_orderkey"))
+    returned = li.filter("l_returnflag = 'R'").select("l_orderkey").distinct()
+    return returned.intersect(li.filter("l_returnflag = 'A'").select("l_orderkey").distinct())
 
 
 @query("set_except", """
