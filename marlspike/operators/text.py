@@ -78,8 +78,9 @@ def relative_frequencies(counts: DataFrame) -> DataFrame:
     )
 
 
-def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """``key -> {item: count}`` in segments of about ``max_entries`` entries.
+def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_ENTRIES,
+            value: str = "count") -> DataFrame:
+    """``key -> {item: value}`` in segments of about ``max_entries`` entries.
 
     A key with few items has the single segment 0. A key with more is dealt
     over as many segments as its item count asks for, and each segment can be
@@ -91,10 +92,14 @@ def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_EN
         LARGE_STRIPES,
     )
     segment = F.when(F.col("_slots").isNull(), F.lit(0).cast("bigint")).otherwise(slot(F.col(item), F.col("_slots")))
+    # Without the explicit repartition a shuffled join would also fix where the
+    # segments are built: all of a key's segments in one task.
     return (
         counts.join(large, key, "left")
-        .groupBy(key, segment.alias("segment"))
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(item, "count")))).alias("stripe"))
+        .select(key, item, value, segment.alias("segment"))
+        .repartition(key, "segment")
+        .groupBy(key, "segment")
+        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(item, value)))).alias("stripe"))
     )
 
 
@@ -239,6 +244,12 @@ def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD,
     return with_pmi(pairs, "x", "y", marginals, total)
 
 
+def positional_stripes(pairs: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+    """``x -> {y: (pmi, count)}`` of scored pairs."""
+    scored = cut_lineage(pairs.select("x", "y", F.struct("pmi", "count").alias("score")))
+    return stripes(scored, "x", "y", max_entries, "score")
+
+
 def hashed_ngrams(docs: DataFrame, id_col: str, text_col: str, dim: int | None = None) -> DataFrame:
     """``(id, idx, n)``: counts of hashed unigrams and ``a_b`` bigrams of each document."""
     from marlspike.functions.hashing import HASH_DIM, md5_bucket

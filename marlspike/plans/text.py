@@ -297,7 +297,7 @@ def jn_lookup_scalar(spark, sf):
     )
 
 
-@query("doc_pmi_positional", f"""
+POSITIONAL = f"""
     WITH {LINES}, cut AS (SELECT row_number() OVER () AS id, t[1:40] AS t FROM toks WHERE len(t) > 1),
     bt AS (SELECT id, unnest(t) AS tok, unnest(range(len(t))) AS i FROM cut),
     m AS (SELECT tok, count(*) AS n FROM bt GROUP BY tok),
@@ -305,12 +305,25 @@ def jn_lookup_scalar(spark, sf):
            GROUP BY ALL HAVING count(*) >= 5),
     pmi AS (SELECT x, y, round(log10(count::DOUBLE / a.n * (SELECT count(*) FROM cut) / c.n), 6) AS pmi, count
             FROM pc JOIN m a ON x = a.tok JOIN m c ON y = c.tok)
-    SELECT * FROM pmi
-""")
+"""
+
+
+@query("doc_pmi_positional", f"{POSITIONAL} SELECT * FROM pmi")
 def doc_pmi_positional(spark, sf):
     return X.positional_pmi(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6))
 
 
+@query("doc_pmi_positional_stripes", f"""
+    {POSITIONAL} SELECT x, 0::BIGINT AS segment,
+      string_agg(y || ':' || printf('%.6f', pmi) || ':' || count, ' ' ORDER BY y) AS stripe FROM pmi GROUP BY x
+""")
+def doc_pmi_positional_stripes(spark, sf):
+    striped = X.positional_stripes(X.positional_pmi(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6)))
+    text = F.transform(F.map_entries("stripe"), lambda e: F.concat_ws(
+        ":", e["key"], F.format_string("%.6f", e["value"]["pmi"]), e["value"]["count"].cast("string")))
+    return striped.select("x", "segment", F.array_join(text, " ").alias("stripe"))
+
+
 @query("txt_hash_ngrams", """
     WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents),
     g AS (SELECT doc_id, unnest(t) AS gram FROM t UNION ALL
