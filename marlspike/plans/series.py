@@ -310,7 +310,8 @@ def feature_table(spark, sf):
     WITH {FEATURES} SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS rn, {cols(*PRICE_COLUMNS)},
       target_direction, blocks_count, total_txs, blocks_count AS blocks_per_hour,
       {cols('avg_block_size', 'tx_throughput', 'block_size_trend', 'tx_variance_ratio')}, {', '.join(CALENDAR)}
-    FROM f JOIN hours ON hour_ts = hour WHERE future_close IS NOT NULL
+    FROM f LEFT JOIN (SELECT hour, {', '.join(f"coalesce({c}, 0) AS {c}" for c in X.CHAIN_COLUMNS)} FROM hours) ON hour_ts = hour
+    WHERE future_close IS NOT NULL
 """)
 def ts_all_features(spark, sf):
     return rounded(feature_table(spark, sf))
