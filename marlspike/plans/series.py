@@ -16,9 +16,9 @@ from marlspike.plans.registry import query
 from marlspike.sources.tables import table
 
 def digits(name):
-    """Averages of cents over 32 or 64 rows end in a 5 at the seventh decimal, so they keep eight."""
+    """Averages of cents over 32, 64 or 128 rows end in a 5 as late as the ninth decimal and keep nine."""
     averaged = name.startswith(("ma_", "bb_", "volume_ma", "avg_", "ema", "tx_thr")) and name != "bb_position"
-    return 8 if averaged else 6
+    return 9 if averaged else 6
 
 
 def rounded(df):
