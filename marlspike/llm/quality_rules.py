@@ -28,11 +28,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 #: Ratios and sizes the rules may test, in order.
 FEATURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars", "n_words")
-#: Candidate thresholds per feature (quantiles of the labelled rows).
-BINS = 32
+#: Candidate thresholds per feature: quantiles of the bad and of the good rows, so many of each.
+BINS = 24
 MAX_RULES, MAX_CONDITIONS = 8, 3
 #: A rule must reject at least this share of bad rows in both parts, and cover so many growing rows.
-LEAST_PRECISION, LEAST_COVER = 0.9, 5
+LEAST_PRECISION, LEAST_COVER = 0.95, 5
 #: Base limits.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 
@@ -128,8 +128,9 @@ def learn(labelled: DataFrame, bad: Column) -> list[Rule]:
         bad.cast("int").alias("bad"), (F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)).cast("long")), F.lit(3)) == 0).alias("prune"),
         *[c.alias(f) for f, c in by.items()]), "labelled")
     own = {f: F.col(f) for f in FEATURES}
-    limits = rows.agg(*[F.percentile_approx(f, [i / BINS for i in range(1, BINS)], 2000).alias(f) for f in FEATURES]).first()
-    cuts = {f: sorted(set(limits[f] or [])) for f in FEATURES}
+    levels = [i / BINS for i in range(BINS + 1)]
+    limits = rows.groupBy("bad").agg(*[F.percentile_approx(f, levels, 2000).alias(f) for f in FEATURES]).collect()
+    cuts = {f: sorted({x for r in limits for x in r[f] or ()}) for f in FEATURES}
     if not any(cuts.values()):
         return []
 
