@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlspike.llm import bpe, langid, license_scan, packing, quality_rules, warc
+from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, warc
 from marlspike.session import scratch_path
 from marlspike.sources.tables import table
 
@@ -62,3 +62,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from marlspike.session import scratch_path
 
@@ -12,3 +12,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Slots of the filter that thins out a table before a join.
+SLOTS = 1 << 20
+
+
+def thinned(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be among ``keys`` (a column of the same name), without shuffling the others.
+
+    Keys are hashed to ``SLOTS`` slots; only slots are broadcast, which bounds what is sent.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    return rows.withColumn("__slot", slot).join(
+        F.broadcast(keys.select(slot.alias("__slot")).distinct()), "__slot", "left_semi").drop("__slot")
