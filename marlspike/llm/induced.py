@@ -174,7 +174,7 @@ def _induce(text, small, run_end, lms, common, memory: int, carry: bool):
         return place[::-1], np.concatenate([[0], more[:0:-1]]).astype(np.uint8)
 
     pending = {}
-    for c, place, more in _with_empty(_pass(text, small, run_end, chars, False, large_of, queue, carry), pending):
+    for c, place, more in _pass(text, small, run_end, chars, False, large_of, queue, carry):
         pending[c] = place[::-1], np.concatenate([[0], more[:0:-1]]).astype(np.uint8)
         for d in [x for x in kept if x > c]:  # buckets above are complete
             yield d, *_bucket(kept.pop(d), pending.pop(d, None), run_end)
@@ -184,10 +184,6 @@ def _induce(text, small, run_end, lms, common, memory: int, carry: bool):
     large.close()
 
 
-def _with_empty(steps, _pending):
-    yield from steps
-
-
 def _bucket(low, high, run_end):
     """A bucket's L suffixes and then its S suffixes."""
     if high is None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, warc
+from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, suffix_dedup, warc
 from marlspike.session import scratch_path
 from marlspike.sources.tables import table
 
@@ -67,3 +67,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
