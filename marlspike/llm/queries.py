@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, suffix_dedup, warc
+from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, suffix_dedup, vector_links, warc
 from marlspike.session import scratch_path
 from marlspike.sources.tables import table
 
@@ -73,3 +73,8 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.links(table(spark, sf_dir, "embeddings"))
