@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import textwrap
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, quality_rules, suffix_dedup, vector_links, warc
+from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, preference, quality_rules, suffix_dedup, vector_links, warc
 from marlspike.session import scratch_path
 from marlspike.sources.tables import table
 
@@ -20,6 +21,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def oracle(sql: str) -> Callable:
+    """Register DuckDB SQL for the rows of a query."""
+    def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        ORACLES[fn.__name__] = textwrap.dedent(sql).strip()
+        return fn
+    return add
+
+
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,3 +87,27 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links.links(table(spark, sf_dir, "embeddings"))
+
+
+@query
+@oracle("""
+    WITH stop AS (SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS t
+                  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    cut AS (SELECT conv_id, t, list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')) AS n FROM stop),
+    conv AS (SELECT conv_id, list_transform(t[1:n], lambda x: {'role': coalesce(x.role, ''), 'text': coalesce(x.text, '')}) AS turns FROM cut WHERE n IS NOT NULL),
+    num AS (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS rn, count(*) OVER () AS total FROM conv),
+    pair AS (SELECT a.conv_id, a.turns[1:len(a.turns) - 1] AS shared, a.turns[len(a.turns)] AS c, b.turns[len(b.turns)] AS r
+             FROM num a JOIN num b ON b.rn = (a.rn + 1) % a.total WHERE a.total > 1),
+    split AS (SELECT conv_id, c = r AS same, CASE WHEN c = r THEN list_append(shared, c) ELSE shared END AS p, c, r FROM pair)
+    SELECT conv_id AS pair_id, CAST(len(p) AS BIGINT) AS n_prompt_turns, same,
+        coalesce(array_to_string(list_transform(p, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), ''), '') AS prompt,
+        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || c.text || '<|end|>' || chr(10) END AS chosen,
+        CASE WHEN same THEN '' ELSE '14+' || CAST(length(c.text) + 8 AS VARCHAR) END AS chosen_mask,
+        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || r.text || '<|end|>' || chr(10) END AS rejected,
+        CASE WHEN same THEN '' ELSE '14+' || CAST(length(r.text) + 8 AS VARCHAR) END AS rejected_mask
+    FROM split
+""")
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.swapped_replies(table(spark, sf_dir, "conversations"))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string"))), ",")
+    return preference.format_pairs(pairs).withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
