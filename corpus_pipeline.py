@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from marlspike.llm import langid, quality_rules  # noqa: E402
+import public_tokenizers  # noqa: E402
+
+from marlspike.llm import langid, ngram_join, packing, quality_rules, suffix_dedup  # noqa: E402
 from marlspike.llm.scratch import stored  # noqa: E402
 from marlspike.sources.tables import table  # noqa: E402
 
@@ -28,9 +30,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, similarity of 0.8)."""
+    return ngram_join.keep_one(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes and more that stand in several places are cut from the texts."""
+    return suffix_dedup.remove_repeats(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents, packed into sequences."""
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 STAGES = [
     ("language_id", language),
     ("quality_rules", quality),
+    ("ngram_jaccard_join", near_copies),
+    ("suffix_array_dedup", passages),
+    ("best_fit_packing", sequences),
 ]
 
 
