@@ -22,23 +22,12 @@ def alphanumerics(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def first_tokens(tokens: Column, n: int | None) -> Column:
-    return tokens if n is None else F.slice(tokens, 1, n)
-
-
 def adjacent(tokens: Column) -> Column:
     """Array of ``(w1, w2)`` structs of neighbouring tokens."""
     m = F.greatest(F.size(tokens) - 1, F.lit(0))
     return F.arrays_zip(F.slice(tokens, F.lit(1), m).alias("w1"), F.slice(tokens, F.lit(2), m).alias("w2"))
 
 
-def token_windows(tokens: Column, width: int) -> Column:
-    """Consecutive windows of ``width`` tokens that together hold every token of the line."""
-    last = F.greatest(F.size(tokens) - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), F.floor(last / width).cast("int"))
-    return F.transform(starts, lambda i: F.slice(tokens, i * width + 1, F.lit(width)))
-
-
 def each(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
     """One row per array element.
 

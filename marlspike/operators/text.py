@@ -19,8 +19,11 @@ from marlspike.operators.relational import broadcast_if_small
 from marlspike.operators.series import number_rows
 from marlspike.session import cut_lineage
 
-# Tokens taken per line, and the count thresholds of the PMI reports.
-LINE_TOKENS = 40
+#: Two words of a line are a pair if at most DISTANCE - 1 tokens apart, so that output stays linear in the text.
+DISTANCE = 40
+#: Tokens that one row of a long line holds, besides the halo of the tokens that follow.
+CHUNK_TOKENS = 4096
+# The count thresholds of the PMI reports.
 PAIR_THRESHOLD = 5
 BIGRAM_THRESHOLD = 10
 
@@ -28,26 +31,26 @@ STRIPE_ENTRIES = 50_000
 LARGE_STRIPES = 1_000_000
 
 
-def words(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    return T.each(lines, [], T.first_tokens(T.letters(F.col("line")), max_tokens), "token")
+def words(lines: DataFrame) -> DataFrame:
+    return T.each(lines, [], T.letters(F.col("line")), "token")
 
 
-def word_count(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    return words(lines, max_tokens).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+def word_count(lines: DataFrame) -> DataFrame:
+    return words(lines).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_words(lines: DataFrame, k: int = 10) -> DataFrame:
     return word_count(lines).orderBy(F.desc("count"), "token").limit(k)
 
 
-def bigrams(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
+def bigrams(lines: DataFrame) -> DataFrame:
     """One row per pair of neighbouring tokens within a line."""
-    toks = lines.select(T.first_tokens(T.letters(F.col("line")), max_tokens).alias("t"))
+    toks = lines.select(T.letters(F.col("line")).alias("t"))
     return T.each(toks, [], T.adjacent(F.col("t")), "b").select("b.w1", "b.w2")
 
 
-def bigram_counts(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    return bigrams(lines, max_tokens).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("count"))
+def bigram_counts(lines: DataFrame) -> DataFrame:
+    return bigrams(lines).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("count"))
 
 
 def followers(lines: DataFrame, head: str, min_count: int = 2) -> DataFrame:
@@ -118,61 +121,87 @@ def stripe_relative_frequencies(counts: DataFrame, max_entries: int = STRIPE_ENT
 LINE_KEYS = ("doc_id", "line_no")
 
 
-def baskets(lines: DataFrame, max_tokens: int = LINE_TOKENS, whole_lines: bool = False,
-            keys: Sequence[str] = LINE_KEYS) -> DataFrame:
-    """``*keys, part, t``: distinct tokens of each basket; null for fewer than two.
-
-    A basket is the first ``max_tokens`` tokens of a line, which is how the
-    report defines its lines. ``whole_lines`` cuts a line into consecutive
-    windows of ``max_tokens`` tokens instead, so every token of the text is in
-    one basket. Either way a basket gives at most max_tokens²/2 pairs.
+def baskets(lines: DataFrame, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
+    """``*keys, t``: all tokens of each line, in order; null for lines with fewer than two different ones.
 
     A filter on the size would be pushed below the tokenising and repeat it, so
-    small baskets are made null here and vanish when exploded.
+    small lines are made null here and vanish when exploded.
     """
     toks = lines.select(*keys, T.letters(F.col("line")).alias("t"))
-    if whole_lines:
-        toks = toks.select(*keys, F.posexplode_outer(T.token_windows(F.col("t"), max_tokens)).alias("part", "t"))
-    else:
-        toks = toks.select(*keys, F.lit(0).alias("part"), T.first_tokens(F.col("t"), max_tokens).alias("t"))
-    distinct = F.array_distinct("t")
-    return toks.withColumn("t", F.when(F.size(distinct) > 1, distinct))
+    return toks.withColumn("t", F.when(F.size(F.array_distinct("t")) > 1, F.col("t")))
 
 
 def basket_marginals(basket: DataFrame) -> DataFrame:
-    """``token, n``: baskets per token; the empty token stands for all baskets."""
+    """``token, n``: lines per token; the empty token stands for all lines."""
     return (
-        T.each(basket, [], F.array_append("t", F.lit("")), "token")
+        T.each(basket, [], F.array_append(F.array_distinct("t"), F.lit("")), "token")
         .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def cooccurrence(basket: DataFrame, threshold: int, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
-    """Unordered pairs ``x < y`` in at least ``threshold`` baskets: ``x, y, count, n_x, n_y, baskets``.
+def _chunks(basket: DataFrame, coded: DataFrame, keys: Sequence[str], distance: int, chunk: int) -> DataFrame:
+    """``*keys, many, a``: the coded tokens (pos, id, own) of each chunk of a line, in order.
 
-    A pair is never more frequent than its rarer token, so tokens below the
-    threshold are left out first. The others are numbered in token order, and
-    pairs are counted on the numbers, which keeps the large shuffle narrow.
+    A pair belongs to the chunk of its first word. A chunk also has the tokens that
+    follow it within the distance (own false), so no pair is lost at its end.
     """
-    marginals = cut_lineage(basket_marginals(basket))
-    total = marginals.filter("token = ''").select("n").scalar()
-    frequent = marginals.filter((F.col("token") != "") & (F.col("n") >= threshold))
-    coded = cut_lineage(number_rows(frequent, ["token"], "id"))
-    per_basket = (
-        T.each(basket, [*keys, "part"], F.col("t"), "token")
-        .join(broadcast_if_small(coded.select("token", "id")), "token")
-        .groupBy(*keys, "part").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    )
-    pairs = (
-        per_basket.select("ids", F.posexplode("ids").alias("i", "id_x"))
-        .select("id_x", F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("id_y"))
-        .groupBy("id_x", "id_y").agg(F.count(F.lit(1)).alias("count"))
-        .filter(F.col("count") >= threshold)
-    )
+    toks = basket.select(*keys, (F.size("t") > chunk).alias("many"), F.posexplode_outer("t").alias("pos", "token")).filter(
+        F.col("token").isNotNull())
+    at = F.floor(F.col("pos") / chunk)
+    near = (F.col("pos") % chunk < distance - 1) & (at > 0)
+    toks = toks.join(coded.select("token", "id"), "token").select(
+        *keys, "many", F.explode(F.when(near, F.array(at, at - 1)).otherwise(F.array(at))).alias("chunk"), "pos", "id",
+        at.alias("home"))
+    return toks.groupBy(*keys, "many", "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "id", (F.col("home") == F.col("chunk")).alias("own")))).alias("a"))
+
+
+def _pairs_of(array: str, distance: int, ordered: bool) -> Column:
+    """Every pair of a chunk as one number: the two ids, by place (``ordered``) or by size and different."""
+    code = lambda a, b: F.shiftleft(a, 32).bitwiseOR(b)
+
+    def after(x: Column, k: Column) -> Column:
+        near = F.filter(F.slice(array, k + 2, F.lit(distance - 1)), lambda y: (y["pos"] - x["pos"] < distance) & x["own"] & (
+            F.lit(True) if ordered else y["id"] != x["id"]))
+        return F.transform(near, lambda y: code(x["id"], y["id"]) if ordered else code(
+            F.least(x["id"], y["id"]), F.greatest(x["id"], y["id"])))
+
+    return F.flatten(F.transform(array, after))
+
+
+def _decoded(pairs: DataFrame, coded: DataFrame) -> DataFrame:
+    """``pair, count`` with the words ``x, y`` and their counts ``n_x, n_y``."""
+    pairs = pairs.select(F.shiftrightunsigned("pair", 32).alias("id_x"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("id_y"), "count")
     first = coded.select(F.col("id").alias("id_x"), F.col("token").alias("x"), F.col("n").alias("n_x"))
     second = coded.select(F.col("id").alias("id_y"), F.col("token").alias("y"), F.col("n").alias("n_y"))
-    return pairs.join(first, "id_x").join(second, "id_y").select(
-        "x", "y", "count", "n_x", "n_y", total.alias("baskets"))
+    return pairs.join(first, "id_x").join(second, "id_y").select("x", "y", "count", "n_x", "n_y")
+
+
+def _numbered(marginals: DataFrame, threshold: int) -> DataFrame:
+    """Words of at least ``threshold``, numbered in their order; fewer than 2**31 of them."""
+    frequent = marginals.filter((F.col("token") != "") & (F.col("n") >= threshold))
+    return cut_lineage(number_rows(frequent, ["token"], "id"))
+
+
+def cooccurrence(basket: DataFrame, threshold: int, keys: Sequence[str] = LINE_KEYS, distance: int = DISTANCE,
+                 chunk: int = CHUNK_TOKENS) -> DataFrame:
+    """Unordered pairs ``x < y`` near each other in at least ``threshold`` lines: ``x, y, count, n_x, n_y, baskets``.
+
+    A line counts once for a pair, however often its words meet within ``distance``.
+    A pair is never in more lines than its rarer word, so words below the threshold are
+    left out first. The others are numbered in word order, and pairs are counted on the
+    numbers, which keeps the large shuffle narrow.
+    """
+    marginals = cut_lineage(basket_marginals(basket))
+    total = marginals.filter("token = ''").select("n").scalar()
+    coded = _numbered(marginals, threshold)
+    chunks = _chunks(basket, coded, keys, distance, chunk).select(
+        *keys, "many", F.array_distinct(_pairs_of("a", distance, False)).alias("pairs"))
+    met = chunks.select(*keys, "many", F.explode_outer("pairs").alias("pair")).filter(F.col("pair").isNotNull())
+    # chunks of one line may hold the same pair
+    once = met.filter(~F.col("many")).select("pair").unionByName(met.filter("many").distinct().select("pair"))
+    pairs = once.groupBy("pair").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= threshold)
+    return _decoded(pairs, coded).select("*", total.alias("baskets"))
 
 
 def pmi(count: Column, n_x: Column, n_y: Column, total: Column) -> Column:
@@ -184,16 +213,15 @@ def _pair_pmi() -> Column:
     return pmi(F.col("count"), F.col("n_x"), F.col("n_y"), F.col("baskets"))
 
 
-def pmi_pairs(lines: DataFrame, threshold: int = PAIR_THRESHOLD, max_tokens: int = LINE_TOKENS,
-              whole_lines: bool = False) -> DataFrame:
-    pairs = cooccurrence(baskets(lines, max_tokens, whole_lines), threshold)
+def pmi_pairs(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE) -> DataFrame:
+    pairs = cooccurrence(baskets(lines), threshold, distance=distance)
     return pairs.select("x", "y", _pair_pmi().alias("pmi"), "count")
 
 
-def pmi_stripes(lines: DataFrame, threshold: int = PAIR_THRESHOLD, max_tokens: int = LINE_TOKENS,
-                whole_lines: bool = False, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+def pmi_stripes(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE,
+                max_entries: int = STRIPE_ENTRIES) -> DataFrame:
     """The same values through stripes ``x -> {y: count}``, which list every pair in both directions."""
-    pairs = cut_lineage(cooccurrence(baskets(lines, max_tokens, whole_lines), threshold))
+    pairs = cut_lineage(cooccurrence(baskets(lines), threshold, distance=distance))
     flip = F.array(F.struct("x", "y", "n_x"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("n_y").alias("n_x")))
     both = pairs.select(F.explode(flip).alias("p"), "count", "baskets").select("p.*", "count", "baskets")
     tokens = both.groupBy("x").agg(F.max("n_x").alias("n"), F.max("baskets").alias("baskets"))
@@ -214,34 +242,37 @@ def with_pmi(pairs: DataFrame, x: str, y: str, marginals: DataFrame, total: Colu
     return pairs.join(first, x).join(second, y).select(x, y, value.alias("pmi"), "count")
 
 
-def bigram_pmi(lines: DataFrame, threshold: int = BIGRAM_THRESHOLD,
-               max_tokens: int | None = LINE_TOKENS) -> DataFrame:
+def bigram_pmi(lines: DataFrame, threshold: int = BIGRAM_THRESHOLD) -> DataFrame:
     """PMI of neighbouring tokens; probabilities are over the number of bigrams."""
-    pairs = bigram_counts(lines, max_tokens)
-    total = total_bigrams(lines, max_tokens).scalar()
-    marginals = word_count(lines, max_tokens).withColumnRenamed("count", "n")
+    pairs = bigram_counts(lines)
+    total = total_bigrams(lines).scalar()
+    marginals = word_count(lines).withColumnRenamed("count", "n")
     return with_pmi(pairs.filter(F.col("count") >= threshold), "w1", "w2", marginals, total)
 
 
-def total_bigrams(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    n = F.size(T.first_tokens(T.letters(F.col("line")), max_tokens))
+def total_bigrams(lines: DataFrame) -> DataFrame:
+    n = F.size(T.letters(F.col("line")))
     return lines.agg(F.sum(F.greatest(n - 1, F.lit(0))).alias("total"))
 
 
-def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD,
-                   max_tokens: int = LINE_TOKENS) -> DataFrame:
-    """PMI over raw ordered token pairs (earlier, later) of a line, repeats included."""
-    first = T.first_tokens(T.letters(F.col("line")), max_tokens)
-    toks = cut_lineage(lines.select(F.when(F.size(first) > 1, first).alias("t")).filter("t IS NOT NULL"))
+def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE,
+                   chunk: int = CHUNK_TOKENS) -> DataFrame:
+    """PMI over raw ordered token pairs (earlier, later) of a line within ``distance``, repeats included."""
+    toks = lines.select(*LINE_KEYS, T.letters(F.col("line")).alias("t"))
+    toks = toks.withColumn("t", F.when(F.size("t") > 1, F.col("t")))
+    # the empty token stands for lines
+    marginals = cut_lineage(
+        T.each(toks, [], F.array_append("t", F.lit("")), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    total = marginals.filter("token = ''").select("n").scalar()
+    coded = _numbered(marginals, 1)
     pairs = (
-        toks.select("t", F.posexplode("t").alias("i", "x"))
-        .select("x", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("y"))
-        .groupBy("x", "y").agg(F.count(F.lit(1)).alias("count"))
+        _chunks(toks, coded, LINE_KEYS, distance, chunk)
+        .select(F.explode_outer(_pairs_of("a", distance, True)).alias("pair")).filter(F.col("pair").isNotNull())
+        .groupBy("pair").agg(F.count(F.lit(1)).alias("count"))
         .filter(F.col("count") >= threshold)
     )
-    total = toks.agg(F.count(F.lit(1))).scalar()
-    marginals = toks.select(F.explode("t").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return with_pmi(pairs, "x", "y", marginals, total)
+    value = pmi(F.col("count"), F.col("n_x"), F.col("n_y"), total)
+    return _decoded(pairs, coded).select("x", "y", value.alias("pmi"), "count")
 
 
 def positional_stripes(pairs: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:

@@ -1,7 +1,7 @@
 """Registered text queries. A line is one line of ``documents.text``.
 
-The reports over co-occurrence and adjacent PMI are defined on the first 40
-tokens of a line. Each has a second query, suffixed ``_whole``, over every token.
+The reports over co-occurrence take every pair of words of a line that are fewer than
+40 tokens apart; those over neighbouring words take whole lines.
 """
 
 from __future__ import annotations
@@ -27,18 +27,18 @@ BIGRAMS = """
     big AS (SELECT unnest(t[1:len(t)-1]) AS w1, unnest(t[2:len(t)]) AS w2 FROM {src} WHERE len(t) > 1),
     bc AS (SELECT w1, w2, count(*) AS count FROM big GROUP BY ALL)
 """
-HEAD_TOKS = "cut AS (SELECT doc_id, line_no, t[1:40] AS t FROM toks)"
-WINDOW_TOKS = """
-    cut AS (SELECT t[i*40+1:i*40+40] AS t
-            FROM (SELECT t, unnest(range(((len(t) + 39) // 40)::BIGINT)) AS i FROM toks))
+#: Every pair of places of a line that are fewer than 40 tokens apart.
+NEAR = """
+    bt AS (SELECT doc_id, line_no, unnest(t) AS tok, unnest(range(len(t))) AS i FROM {src}),
+    near AS (SELECT p.doc_id, p.line_no, p.tok AS a, q.tok AS b
+             FROM (SELECT *, unnest(range(1, 40)) AS d FROM bt) p
+             JOIN bt q ON p.doc_id = q.doc_id AND p.line_no = q.line_no AND q.i = p.i + p.d)
 """
 BASKETS = """
-    b AS (SELECT row_number() OVER () AS id, t FROM
-          (SELECT list_sort(list_distinct(t)) AS t FROM cut) WHERE len(t) > 1),
-    bt AS (SELECT id, unnest(t) AS tok FROM b),
-    m AS (SELECT tok, count(*) AS n FROM bt GROUP BY tok),
-    pc AS (SELECT p.tok AS x, q.tok AS y, count(*) AS count
-           FROM bt p JOIN bt q ON p.id = q.id AND p.tok < q.tok GROUP BY ALL)
+    b AS (SELECT doc_id, line_no, t FROM toks WHERE len(list_distinct(t)) > 1),
+    m AS (SELECT tok, count(*) AS n FROM (SELECT unnest(list_distinct(t)) AS tok FROM b) GROUP BY tok),
+    pc AS (SELECT x, y, count(*) AS count FROM (
+             SELECT DISTINCT doc_id, line_no, least(a, b) AS x, greatest(a, b) AS y FROM near WHERE a <> b) GROUP BY ALL)
 """
 
 
@@ -224,7 +224,7 @@ BIGRAM_PMI = """
 
 
 @query("txt_bigram_pmi", f"""
-    WITH {LINES}, {HEAD_TOKS}, {BIGRAMS.format(src='cut')}, {BIGRAM_PMI.format(src='cut')}
+    WITH {LINES}, {BIGRAMS.format(src='toks')}, {BIGRAM_PMI.format(src='toks')}
     SELECT * FROM pmi ORDER BY pmi DESC, count DESC, w1, w2 LIMIT 100
 """)
 def txt_bigram_pmi(spark, sf):
@@ -236,7 +236,8 @@ def txt_bigram_pmi(spark, sf):
     WITH {LINES}, {BIGRAMS.format(src='toks')}, {BIGRAM_PMI.format(src='toks')} SELECT * FROM pmi
 """)
 def txt_bigram_pmi_whole(spark, sf):
-    return X.bigram_pmi(lines(spark, sf), max_tokens=None).withColumn("pmi", F.round("pmi", 6))
+    """All frequent bigrams, not only the report's 100."""
+    return X.bigram_pmi(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6))
 
 
 # --- co-occurrence ---------------------------------------------------------
@@ -247,34 +248,20 @@ PMI = """
 """
 
 
-@query("txt_cooc_pairs", f"""
-    WITH {LINES}, {HEAD_TOKS}, {BASKETS} SELECT x, y, count FROM pc WHERE count >= 5
-""")
-def txt_cooc_pairs(spark, sf):
-    return X.cooccurrence(X.baskets(lines(spark, sf)), X.PAIR_THRESHOLD).select("x", "y", "count")
+COOC = f"WITH {LINES}, {NEAR.format(src='toks')}, {BASKETS}"
 
 
-@query("txt_cooc_pairs_whole", f"""
-    WITH {LINES}, {WINDOW_TOKS}, {BASKETS} SELECT x, y, count FROM pc WHERE count >= 5
-""")
-def txt_cooc_pairs_whole(spark, sf):
-    return X.cooccurrence(X.baskets(lines(spark, sf), whole_lines=True), X.PAIR_THRESHOLD).select("x", "y", "count")
+@query("txt_cooc_pairs", f"{COOC} SELECT x, y, count FROM pc WHERE count >= 5")
+def txt_cooc_pairs(spark, sf):
+    return X.cooccurrence(X.baskets(lines(spark, sf)), X.PAIR_THRESHOLD).select("x", "y", "count")
 
 
-@query("txt_pmi_pairs", f"WITH {LINES}, {HEAD_TOKS}, {BASKETS}, {PMI} SELECT * FROM pmi")
+@query("txt_pmi_pairs", f"{COOC}, {PMI} SELECT * FROM pmi")
 def txt_pmi_pairs(spark, sf):
     return X.pmi_pairs(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6))
 
 
-@query("txt_pmi_pairs_whole", f"WITH {LINES}, {WINDOW_TOKS}, {BASKETS}, {PMI} SELECT * FROM pmi")
-def txt_pmi_pairs_whole(spark, sf):
-    return X.pmi_pairs(lines(spark, sf), whole_lines=True).withColumn("pmi", F.round("pmi", 6))
-
-
-@query("txt_pmi_stripes", f"""
-    WITH {LINES}, {HEAD_TOKS}, {BASKETS}, {PMI}
-    SELECT x, y, pmi, count FROM pmi UNION ALL SELECT y, x, pmi, count FROM pmi
-""")
+@query("txt_pmi_stripes", f"{COOC}, {PMI} SELECT x, y, pmi, count FROM pmi UNION ALL SELECT y, x, pmi, count FROM pmi")
 def txt_pmi_stripes(spark, sf):
     return X.pmi_stripes(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6))
 
@@ -298,12 +285,10 @@ def jn_lookup_scalar(spark, sf):
 
 
 POSITIONAL = f"""
-    WITH {LINES}, cut AS (SELECT row_number() OVER () AS id, t[1:40] AS t FROM toks WHERE len(t) > 1),
-    bt AS (SELECT id, unnest(t) AS tok, unnest(range(len(t))) AS i FROM cut),
+    WITH {LINES}, whole AS (SELECT doc_id, line_no, t FROM toks WHERE len(t) > 1), {NEAR.format(src='whole')},
     m AS (SELECT tok, count(*) AS n FROM bt GROUP BY tok),
-    pc AS (SELECT p.tok AS x, q.tok AS y, count(*) AS count FROM bt p JOIN bt q ON p.id = q.id AND p.i < q.i
-           GROUP BY ALL HAVING count(*) >= 5),
-    pmi AS (SELECT x, y, round(log10(count::DOUBLE / a.n * (SELECT count(*) FROM cut) / c.n), 6) AS pmi, count
+    pc AS (SELECT a AS x, b AS y, count(*) AS count FROM near GROUP BY ALL HAVING count(*) >= 5),
+    pmi AS (SELECT x, y, round(log10(count::DOUBLE / a.n * (SELECT count(*) FROM whole) / c.n), 6) AS pmi, count
             FROM pc JOIN m a ON x = a.tok JOIN m c ON y = c.tok)
 """
 

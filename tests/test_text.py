@@ -1,7 +1,6 @@
 import math
 import re
 from collections import Counter
-from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,29 +61,41 @@ def test_stripe_segments_are_whole_and_small(spark):
     assert [k for k in sizes if k[0] == "cold"] == [("cold", 0)]
 
 
-def brute_pmi(units, threshold):
-    units = [sorted(set(u)) for u in units if len(set(u)) > 1]
-    n = Counter(t for u in units for t in u)
-    c = Counter(p for u in units for p in combinations(u, 2))
+def brute_pmi(units, threshold, distance):
+    units = [u for u in units if len(set(u)) > 1]
+    n = Counter(t for u in units for t in set(u))
+    c = Counter()
+    for u in units:
+        c.update({tuple(sorted((u[i], u[j]))) for i in range(len(u)) for j in range(i + 1, min(len(u), i + distance)) if u[i] != u[j]})
     return {p: (math.log10(k * len(units) / (n[p[0]] * n[p[1]])), k) for p, k in c.items() if k >= threshold}
 
 
-@pytest.mark.parametrize("whole", [False, True])
+@pytest.mark.parametrize("distance", [40, 3])
 @pytest.mark.parametrize("threshold", [1, 5])
-def test_pmi_pairs_and_stripes(lines, whole, threshold):
-    units = []
-    for s in LINES:
-        t = toks(s)
-        units += [t[i:i + 40] for i in range(0, len(t), 40)] if whole else [t[:40]]
-    want = brute_pmi(units, threshold)
-    got = {(r.x, r.y): (r.pmi, r["count"]) for r in X.pmi_pairs(lines, threshold, whole_lines=whole).collect()}
+def test_pmi_pairs_and_stripes(lines, distance, threshold):
+    want = brute_pmi([toks(s) for s in LINES], threshold, distance)
+    got = {(r.x, r.y): (r.pmi, r["count"]) for r in X.pmi_pairs(lines, threshold, distance).collect()}
     assert set(got) == set(want)
     assert all(got[p][1] == want[p][1] and abs(got[p][0] - want[p][0]) < 1e-9 for p in want)
-    both = {(r.x, r.y): r.pmi for r in X.pmi_stripes(lines, threshold, whole_lines=whole, max_entries=3).collect()}
+    both = {(r.x, r.y): r.pmi for r in X.pmi_stripes(lines, threshold, distance, max_entries=3).collect()}
     assert len(both) == 2 * len(want)
     assert all(abs(both[p] - want[p][0]) < 1e-9 and abs(both[p[::-1]] - want[p][0]) < 1e-9 for p in want)
 
 
+def test_pairs_cross_places_and_chunks(spark):
+    """Pairs near place 40 and across the chunks of a long line are counted, once per line; ordered pairs each time."""
+    words = ["w" + "abcdefghij"[i % 10] + "abcdefghij"[i // 10 % 10] for i in range(100)] * 2
+    df = spark.createDataFrame([(1, 0, " ".join(words))], "doc_id long, line_no int, line string")
+    want = brute_pmi([words], 1, 5)
+    ordered = Counter((words[i], words[j]) for i in range(200) for j in range(i + 1, min(200, i + 5)))
+    assert tuple(sorted((words[39], words[40]))) in want
+    for chunk in (7, 4096):
+        got = {(r.x, r.y): r["count"] for r in X.cooccurrence(X.baskets(df), 1, distance=5, chunk=chunk).collect()}
+        assert got == {p: k for p, (_, k) in want.items()}
+        raw = {(r.x, r.y): r["count"] for r in X.positional_pmi(df, 1, distance=5, chunk=chunk).collect()}
+        assert raw == ordered
+
+
 def test_search(spark, lines, tmp_path):
     tf = I.term_frequencies(I.line_groups(lines, 3))
     path = str(tmp_path / "index")
