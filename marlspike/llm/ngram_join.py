@@ -1,10 +1,12 @@
 """N-gram Jaccard join: groups of documents with nearly equal sets of word n-grams.
 
 1. Every whole text becomes its set of n-gram hashes. Equal sets collapse to a class.
-2. All n-grams are counted in ``2**16`` hash buckets; (bucket count, hash) is the global
-   order, rare n-grams first. Two sets that link share one of their first
-   ``size - ceil(t * size) + 1`` members, so documents are candidates of each other only
-   through such members. Components of that relation are joined apart from each other.
+2. All n-grams are counted in ``2**ORDER_BITS`` hash buckets; (bucket count, hash) is the
+   global order, rare n-grams first. Two different sets that link share ``l = shared_least()``
+   of their first ``size - ceil(t * size) + l`` members. A member that stands in at most
+   ``FEW`` sets counts for each pair of them, and pairs that share l such members and
+   whose sizes allow a link are candidates; a more frequent one makes all its sets of
+   like size candidates, by stars. Components of that relation are joined apart.
 3. Each candidate component is put in a prefix tree (``prefix_tree``), in which partial
    overlaps are shared and subtrees pruned by the remaining lengths. Only pairs that
    connect components come out, never all pairs of a group.
@@ -20,6 +22,8 @@ a null doc_id gets component null and doesn't connect others.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,11 @@ from marlspike.llm.components import components
 from marlspike.llm.prefix_tree import linked
 from marlspike.llm.scratch import stored, thinned
 
+#: A leading n-gram in at most so many sets counts pair by pair.
+FEW = 16
+#: Buckets of the global order: broadcast as 32-bit counts, 4 MB.
+ORDER_BITS = 20
+_RANGES = 16
 #: N-grams that one task joins at a time.
 UNIT_GRAMS = 1 << 21
 
@@ -52,21 +61,45 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]
     return out
 
 
+def shared_least(percent: int) -> int:
+    """Leading members that two different linked sets share at least: an overlap of o needs o / (o + 1) >= t."""
+    return max(1, min(3, percent // max(1, 100 - percent)))
+
+
+def bucket_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> B.U(64 - ORDER_BITS)).astype(np.int64)
+
+
 def gram_order(docs: DataFrame, n: int) -> np.ndarray:
-    """How often the hashes of each of 2**16 buckets stand in sets of ``docs`` (doc_id, text)."""
+    """How often the hashes of each bucket stand in sets of ``docs`` (doc_id, text).
+
+    A task sends its counts as packed ranges of buckets; Spark adds up each range.
+    """
+    width = (1 << ORDER_BITS) // _RANGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, dtype=np.int64)
+        total = np.zeros(1 << ORDER_BITS, dtype="<i8")
         for batch in batches:
             for _, _, data, offsets in B.slices(batch.column(0)):
-                members = np.concatenate(gram_sets(data, offsets, n))
-                total += np.bincount((members >> B.U(48)).astype(np.int64), minlength=1 << 16)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit])], ["bucket", "n"])
-
-    got = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << 16, dtype=np.int64)
-    out[np.asarray(got["bucket"])] = np.asarray(got["n"])
+                total += np.bincount(bucket_of(np.concatenate(gram_sets(data, offsets, n))), minlength=1 << ORDER_BITS)
+        rows = [zlib.compress(total[i * width:(i + 1) * width].tobytes(), 1) for i in range(_RANGES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(_RANGES), pa.int32()), pa.array(rows, pa.binary())], ["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                one = np.frombuffer(zlib.decompress(counts.as_py()), dtype="<i8")
+                sums[part] = sums[part] + one if part in sums else one
+        for part, total in sums.items():
+            packed = zlib.compress(np.minimum(total, 2**31 - 1).astype("<i4").tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    sums = docs.select("text").mapInArrow(run, schema).repartition("part").mapInArrow(add, schema)
+    out = np.zeros(1 << ORDER_BITS, dtype="<i4")
+    for r in sums.collect():  # _RANGES rows
+        out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(zlib.decompress(r["counts"]), dtype="<i4")
     return out
 
 
@@ -74,7 +107,7 @@ def described(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
     """``doc_id, n_shingles, sig_a, sig_b, prefix``: size, 128-bit signature and leading members of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = order.value
+        rank, least = order.value, shared_least(percent)
         for batch in batches:
             for first, last, data, offsets in B.slices(batch.column(1)):
                 size, sig, prefixes = [], [], []
@@ -82,8 +115,8 @@ def described(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                     size.append(len(s))
                     mixed = B.mix(s + B.U(0x632BE59BD9B4E019))
                     sig.append((int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mixed)) if len(s) else 0))
-                    take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                    prefixes.append(s[np.lexsort((s, rank[s >> B.U(48)]))[:take]])
+                    take = len(s) - -(-percent * len(s) // 100) + least
+                    prefixes.append(s[np.lexsort((s, rank[bucket_of(s)]))[:take]])
                 sig = np.array(sig, dtype=np.uint64).view(np.int64)
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes).view(np.int64)))
@@ -102,7 +135,7 @@ def _unit_links(units: DataFrame, n: int, percent: int, order) -> DataFrame:
 
         def joined(unit, ids, sets, probes):
             flags = None if not probes or probes[0] is None else np.array(probes, dtype=bool)
-            pairs = linked(sets, rank, percent, flags)
+            pairs = linked(sets, lambda h: rank[bucket_of(h)], percent, flags)
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i, _ in pairs], pa.int64()), pa.array([ids[j] for _, j in pairs], pa.int64()),
                  pa.array([unit] * len(pairs), pa.string())], ["a", "b", "unit"])
@@ -126,28 +159,48 @@ def _unit_links(units: DataFrame, n: int, percent: int, order) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, unit string")
 
 
+def _candidate_pairs(sets: DataFrame, least: int, percent: int) -> DataFrame:
+    """``a, b``: edges whose components hold every pair of sets that may link."""
+    members = sets.select("doc_id", F.explode("prefix").alias("gram"))
+    met = stored(members.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("met"))
+                 .filter("a < b"), "met")
+    some = met.filter("met > 2").select("gram", "met")
+    again = stored(thinned(members, "gram", some).join(some, "gram"), "again")
+    sizes = sets.select("doc_id", "n_shingles")
+
+    few = again.filter(F.col("met") <= FEW).groupBy("gram").agg(F.sort_array(F.collect_set("doc_id")).alias("ids"))  # FEW ids at most
+    few = few.select(F.explode(F.flatten(F.transform("ids", lambda x, i: F.transform(
+        F.slice("ids", i + 2, F.size("ids")), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
+    counted = met.filter("met = 2").select("a", "b").unionByName(few).groupBy("a", "b").count().filter(F.col("count") >= least)
+    counted = counted.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b").filter(
+        100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")).select("a", "b")
+
+    # sets that link lie in the same or in neighbouring bands of size
+    band = F.floor(F.log("n_shingles") / math.log(100 / percent)) if percent < 100 else F.col("n_shingles")
+    frequent = again.filter(F.col("met") > FEW).join(sizes, "doc_id").select("gram", "doc_id", F.explode(F.array(band, band + 1)).alias("band"))
+    frequent = stored(frequent, "frequent")
+    hubs = stored(frequent.groupBy("gram", "band").agg(F.min("doc_id").alias("a")), "hubs")
+    stars = frequent.join(hubs, ["gram", "band"]).filter(F.col("doc_id") != F.col("a")).select("a", F.col("doc_id").alias("b"))
+    return counted.unionByName(stars).distinct()
+
+
 def near_groups(docs: DataFrame, n: int = 5, percent: int = 80, unit_grams: int = UNIT_GRAMS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    order = docs.sparkSession.sparkContext.broadcast(gram_order(docs, n))  # 2**16 counts
+    order = docs.sparkSession.sparkContext.broadcast(gram_order(docs, n))
     sets = stored(described(docs, n, percent, order), "sets")
     some = sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     sig = ["n_shingles", "sig_a", "sig_b"]
     classes = stored(some.groupBy(*sig).agg(F.min("doc_id").alias("rep")), "classes")
 
-    # leading members that two classes share
-    reps = some.join(classes.select(F.col("rep").alias("doc_id"), *sig), ["doc_id", *sig], "left_semi").select("doc_id", "prefix")
-    reps = stored(reps, "reps")
-    members = reps.select("doc_id", F.explode("prefix").alias("gram"))
-    first = stored(members.groupBy("gram").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-                   .filter("least < most").select("gram", "least"), "shared")
-    together = members.join(first, "gram").filter("doc_id != least").select("doc_id", "least").distinct()
-    candidates = stored(components(together, "doc_id", "least"), "candidates")
+    candidates = components(_candidate_pairs(some, shared_least(percent), percent), "a", "b")
+    # one set of each class; a component of one class needs no search
+    candidates = stored(candidates.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node"), "candidates")
 
     # blocks of a candidate component, dealt by hash
-    sized = candidates.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node").groupBy("node", "component").agg(
-        F.sum("n_shingles").alias("grams"))
-    blocks = stored(sized.groupBy("component").agg(F.ceil(F.sum("grams") / unit_grams).alias("n_blocks")), "blocks")
+    blocks = candidates.groupBy("component").agg(F.ceil(F.sum("n_shingles") / unit_grams).alias("n_blocks"), F.countDistinct("node").alias("nodes"))
+    blocks = stored(blocks.filter("nodes > 1").select("component", "n_blocks"), "blocks")
+    candidates = candidates.select("node", "component").distinct()
     placed = candidates.join(blocks, "component").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks"))).withColumnRenamed("node", "doc_id")
     placed = stored(placed, "placed")
@@ -179,7 +232,7 @@ def _across_blocks(docs: DataFrame, split: DataFrame, links: DataFrame, n: int,
     # one document of the largest component of each block
     hubs = largest(labelled(links, "local"), "component", "block").select(
         F.concat_ws(":", F.lit("hub"), "component").alias("unit"), F.lit(None).cast("boolean").alias("probe"), F.col("root").alias("doc_id"))
-    between = stored(_unit_links(hubs.join(docs, "doc_id"), n, percent, order), "hub_links")
+    between = stored(_unit_links(hubs.join(thinned(docs, "doc_id", hubs), "doc_id"), n, percent, order), "hub_links")
     rows = labelled(links.unionByName(between), "joined")
     main = stored(largest(rows, "component").withColumnRenamed("root", "main"), "main")
     apart = rows.join(main, "component").filter("root != main").select("component", "doc_id", "n_blocks", F.col("block").alias("home"))
@@ -187,7 +240,7 @@ def _across_blocks(docs: DataFrame, split: DataFrame, links: DataFrame, n: int,
     sought = sought.select(F.concat_ws(":", "component", "block").alias("unit"), F.lit(True).alias("probe"), "doc_id")
     held = rows.join(sought.select("doc_id").distinct(), "doc_id", "left_anti").select(
         F.concat_ws(":", "component", "block").alias("unit"), F.lit(False).alias("probe"), "doc_id")
-    units = sought.unionByName(held).join(docs, "doc_id")
+    units = sought.unionByName(held).join(thinned(docs, "doc_id", rows), "doc_id")
     return stored(between.unionByName(_unit_links(units, n, percent, order)), "across")
 
 

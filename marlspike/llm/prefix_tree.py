@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -128,16 +130,16 @@ class PrefixTree:
         return out
 
 
-def linked(sets: list[np.ndarray], order_of: np.ndarray | None, percent: int, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Connecting pairs among sets of 64-bit hashes; ``order_of[h >> 48]`` ranks the hashes, rare ones first."""
+def linked(sets: list[np.ndarray], rank_of: Callable[[np.ndarray], np.ndarray] | None, percent: int, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Connecting pairs among sets of 64-bit hashes; ``rank_of`` ranks hashes, rare ones first."""
     if len(sets) < 2:
         return []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     values, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     common = count > 1
     kept = np.flatnonzero(common)
-    if order_of is not None:
-        kept = kept[np.lexsort((values[kept], order_of[values[kept] >> np.uint64(48)]))]
+    if rank_of is not None:
+        kept = kept[np.lexsort((values[kept], rank_of(values[kept])))]
     place = np.zeros(len(values), dtype=np.int64)
     place[kept] = np.arange(len(kept))
     own, at = [], 0
