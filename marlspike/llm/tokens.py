@@ -14,8 +14,8 @@ from array import array
 
 import regex
 
-#: Pieces a worker keeps (some 100 MB).
-CACHE_PIECES = 400_000
+#: Pieces a cache keeps (some 40 MB).
+CACHE_PIECES = 200_000
 
 
 def packed(ids: list[int]) -> bytes:
