@@ -28,7 +28,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 #: Ratios and sizes the rules may test, in order.
 FEATURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars", "n_words")
-#: Candidate thresholds per feature: quantiles of the bad and of the good rows, so many of each.
+#: Candidate thresholds per feature: midway between quantiles of the bad and the good rows, so many of each.
 BINS = 24
 MAX_RULES, MAX_CONDITIONS = 8, 3
 #: A rule must reject at least this share of bad rows in both parts, and cover so many growing rows.
@@ -130,7 +130,8 @@ def learn(labelled: DataFrame, bad: Column) -> list[Rule]:
     own = {f: F.col(f) for f in FEATURES}
     levels = [i / BINS for i in range(BINS + 1)]
     limits = rows.groupBy("bad").agg(*[F.percentile_approx(f, levels, 2000).alias(f) for f in FEATURES]).collect()
-    cuts = {f: sorted({x for r in limits for x in r[f] or ()}) for f in FEATURES}
+    values = {f: sorted({x for r in limits for x in r[f] or ()}) for f in FEATURES}
+    cuts = {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f, v in values.items()}
     if not any(cuts.values()):
         return []
 
