@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
+from marlspike.session import cut_lineage
 
 # Fixed value: consecutive lines that make up one document.
 LINES_PER_DOC = 10
@@ -42,8 +43,7 @@ def document_frequencies(tf: DataFrame) -> DataFrame:
 def build_index(tf: DataFrame) -> DataFrame:
     """``term, df, doc_block, grp_block, postings``; postings sorted by document.
 
-    ``df`` is the term's count over all segments. It is joined to the finished
-    segments, of which even the commonest term has few.
+    ``df`` is the term's count over all segments, joined to the finished segments.
     """
     segments = (
         tf.withColumn("doc_block", F.floor(F.col("doc_id") / DOCS_PER_SEGMENT))
@@ -51,7 +51,8 @@ def build_index(tf: DataFrame) -> DataFrame:
         .groupBy("term", "doc_block", "grp_block")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "grp", "tf"))).alias("postings"))
     )
-    counts = segments.groupBy("term").agg(F.sum(F.size("postings")).alias("df"))
+    # materialised, so that the join can be split at a term with very many segments
+    counts = cut_lineage(segments.groupBy("term").agg(F.sum(F.size("postings")).alias("df")))
     return segments.join(counts, "term").select("term", "df", "doc_block", "grp_block", "postings")
 
 

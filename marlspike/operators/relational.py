@@ -201,7 +201,7 @@ def shipping_priority(
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose foreign key has no parent (or is null)."""
     return child.join(
-        parent.select(F.col(parent_key).alias("_parent")).distinct(),
+        parent.select(F.col(parent_key).alias("_parent")),
         F.col(key) == F.col("_parent"), "left_anti",
     )
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
 from marlspike.functions.hashing import slot
-from marlspike.operators.relational import broadcast_if_small
 from marlspike.operators.series import number_rows
 from marlspike.session import cut_lineage
 
@@ -27,8 +26,8 @@ CHUNK_TOKENS = 4096
 PAIR_THRESHOLD = 5
 BIGRAM_THRESHOLD = 10
 
-STRIPE_ENTRIES = 50_000
-LARGE_STRIPES = 1_000_000
+#: Segments that every stripe is dealt over, by the hash of the item.
+STRIPE_SEGMENTS = 16
 
 
 def words(lines: DataFrame) -> DataFrame:
@@ -73,44 +72,28 @@ def head_totals(counts: DataFrame) -> DataFrame:
 def relative_frequencies(counts: DataFrame) -> DataFrame:
     """count / head total by an aggregate and a join.
 
-    A window over ``w1`` would pull all followers of a frequent head into one
-    task; the join can be split by the engine when one head is that large.
+    A window over ``w1`` would pull all followers of a frequent head into one task. The
+    totals are materialised: only a join of two plain shuffles can be split at such a head.
     """
-    return counts.join(head_totals(counts), "w1").select(
+    return counts.join(cut_lineage(head_totals(counts)), "w1").select(
         "w1", "w2", (F.col("count") / F.col("total")).alias("rel_freq"), "count"
     )
 
 
-def stripes(counts: DataFrame, key: str, item: str, max_entries: int = STRIPE_ENTRIES,
-            value: str = "count") -> DataFrame:
-    """``key -> {item: value}`` in segments of about ``max_entries`` entries.
-
-    A key with few items has the single segment 0. A key with more is dealt
-    over as many segments as its item count asks for, and each segment can be
-    built by a different task. ``counts`` is read twice; pass a materialised one.
-    """
-    large = broadcast_if_small(
-        counts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_entries)
-        .select(key, F.ceil(F.col("_n") / max_entries).alias("_slots")),
-        LARGE_STRIPES,
-    )
-    segment = F.when(F.col("_slots").isNull(), F.lit(0).cast("bigint")).otherwise(slot(F.col(item), F.col("_slots")))
-    # Without the explicit repartition a shuffled join would also fix where the
-    # segments are built: all of a key's segments in one task.
+def stripes(counts: DataFrame, key: str, item: str, segments: int = STRIPE_SEGMENTS, value: str = "count") -> DataFrame:
+    """``key -> {item: value}``; every key is dealt over the same number of segments by the hash of the item."""
     return (
-        counts.join(large, key, "left")
-        .select(key, item, value, segment.alias("segment"))
-        .repartition(key, "segment")
+        counts.select(key, item, value, slot(F.col(item), F.lit(segments)).alias("segment"))
         .groupBy(key, "segment")
         .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(item, value)))).alias("stripe"))
     )
 
 
-def stripe_relative_frequencies(counts: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+def stripe_relative_frequencies(counts: DataFrame, segments: int = STRIPE_SEGMENTS) -> DataFrame:
     """Relative frequencies by dividing each stripe's entries by the stripe's total."""
     counts = cut_lineage(counts)
     return (
-        stripes(counts, "w1", "w2", max_entries).join(head_totals(counts), "w1")
+        stripes(counts, "w1", "w2", segments).join(cut_lineage(head_totals(counts)), "w1")
         .select("w1", "total", F.explode("stripe").alias("w2", "count"))
         .select("w1", "w2", (F.col("count") / F.col("total")).alias("rel_freq"), "count")
     )
@@ -219,13 +202,13 @@ def pmi_pairs(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int =
 
 
 def pmi_stripes(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE,
-                max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+                segments: int = STRIPE_SEGMENTS) -> DataFrame:
     """The same values through stripes ``x -> {y: count}``, which list every pair in both directions."""
     pairs = cut_lineage(cooccurrence(baskets(lines), threshold, distance=distance))
     flip = F.array(F.struct("x", "y", "n_x"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("n_y").alias("n_x")))
     both = pairs.select(F.explode(flip).alias("p"), "count", "baskets").select("p.*", "count", "baskets")
-    tokens = both.groupBy("x").agg(F.max("n_x").alias("n"), F.max("baskets").alias("baskets"))
-    striped = stripes(both.select("x", "y", "count"), "x", "y", max_entries).join(
+    tokens = cut_lineage(both.groupBy("x").agg(F.max("n_x").alias("n"), F.max("baskets").alias("baskets")))
+    striped = stripes(both.select("x", "y", "count"), "x", "y", segments).join(
         tokens.withColumnRenamed("n", "n_x"), "x")
     return (
         striped.select("x", "n_x", "baskets", F.explode("stripe").alias("y", "count"))
@@ -246,7 +229,7 @@ def bigram_pmi(lines: DataFrame, threshold: int = BIGRAM_THRESHOLD) -> DataFrame
     """PMI of neighbouring tokens; probabilities are over the number of bigrams."""
     pairs = bigram_counts(lines)
     total = total_bigrams(lines).scalar()
-    marginals = word_count(lines).withColumnRenamed("count", "n")
+    marginals = cut_lineage(word_count(lines).withColumnRenamed("count", "n"))
     return with_pmi(pairs.filter(F.col("count") >= threshold), "w1", "w2", marginals, total)
 
 
@@ -275,10 +258,9 @@ def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance:
     return _decoded(pairs, coded).select("x", "y", value.alias("pmi"), "count")
 
 
-def positional_stripes(pairs: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+def positional_stripes(pairs: DataFrame, segments: int = STRIPE_SEGMENTS) -> DataFrame:
     """``x -> {y: (pmi, count)}`` of scored pairs."""
-    scored = cut_lineage(pairs.select("x", "y", F.struct("pmi", "count").alias("score")))
-    return stripes(scored, "x", "y", max_entries, "score")
+    return stripes(pairs.select("x", "y", F.struct("pmi", "count").alias("score")), "x", "y", segments, "score")
 
 
 def hashed_ngrams(docs: DataFrame, id_col: str, text_col: str, dim: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from marlspike.functions.hashing import slot
 from marlspike.operators import metrics as K
 from marlspike.operators import ml as M
 from marlspike.operators import series as S
@@ -153,25 +154,51 @@ def _sgd_sql(epochs):
     return ",".join(parts)
 
 
-@query("ml_sgd_logreg", f"""
+SGD = f"""
     WITH l AS (SELECT doc_id, toxic::DOUBLE AS y FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)),
     t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents JOIN l USING (doc_id)),
     gr AS (SELECT doc_id, unnest(t) AS gram FROM t UNION ALL
       SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || '_' || t[i+1])) FROM t WHERE len(t) > 1),
-    f AS MATERIALIZED (SELECT doc_id, idx, n, y FROM (
+    every AS MATERIALIZED (SELECT doc_id, idx, n, y, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 5 = 0 AS held_out FROM (
       SELECT doc_id, (('0x' || substr(md5(gram), 28, 5))::BIGINT % 262144)::INTEGER AS idx, count(*) AS n FROM gr GROUP BY ALL
       UNION ALL SELECT doc_id, -1, 1 FROM l) JOIN l USING (doc_id)),
-    {_sgd_sql(2)}
-    SELECT doc_id, round(1 / (1 + exp(-greatest(least(sum(n * w), 30), -30))), 9) AS probability
-    FROM f JOIN w2 USING (idx) GROUP BY doc_id
-""")
-def ml_sgd_logreg(spark, sf):
-    """Two gradient epochs over all labelled documents, then every document's probability."""
+    f AS MATERIALIZED (SELECT * FROM every WHERE NOT held_out),
+    {_sgd_sql(5)},
+    p AS (SELECT doc_id, max(y) AS y, 1 / (1 + exp(-greatest(least(sum(n * coalesce(w, 0)), 30), -30))) AS probability
+          FROM every LEFT JOIN w5 USING (idx) WHERE held_out GROUP BY doc_id)
+"""
+
+
+def _sgd_held_out(spark, sf):
+    """Five gradient epochs over the labelled documents of the training part; probabilities of the held-out fifth."""
     grams, labels = _labelled_grams(spark, sf)
     grams = cut_lineage(grams)
     known = labels.join(table(spark, sf, "documents").select("doc_id"), "doc_id", "left_semi")
-    weights = M.sgd_weights(grams, known, "doc_id", epochs=2)
-    return M.sgd_scores(grams, weights, known, "doc_id").withColumn("probability", F.round("probability", 9))
+    held_out = slot(F.col("doc_id").cast("string"), F.lit(5)) == 0
+    weights = M.sgd_weights(grams, known.filter(~held_out), "doc_id", epochs=5)
+    scores = M.sgd_scores(grams, weights, known.filter(held_out), "doc_id")
+    return known.filter(held_out).join(scores, "doc_id")
+
+
+@query("ml_sgd_logreg", f"{SGD} SELECT doc_id, round(probability, 9) AS probability FROM p")
+def ml_sgd_logreg(spark, sf):
+    return _sgd_held_out(spark, sf).select("doc_id", F.round("probability", 9).alias("probability"))
+
+
+@query("ml_sgd_metrics", f"""
+    {SGD}, s AS (SELECT y, round(probability, 9) AS probability FROM p)
+    SELECT count(*) AS n, sum(y)::BIGINT AS positives, count(*) FILTER (probability >= 0.5 AND y = 1) AS true_positives,
+      count(*) FILTER (probability >= 0.5 AND y = 0) AS false_positives, round(avg(probability), 6) AS mean_probability FROM s
+""")
+def ml_sgd_metrics(spark, sf):
+    """Counts of the held-out part at threshold 0.5."""
+    scored = _sgd_held_out(spark, sf).withColumn("probability", F.round("probability", 9))
+    high = F.col("probability") >= 0.5
+    return scored.agg(
+        F.count("*").alias("n"), F.sum("label").cast("long").alias("positives"),
+        F.count(F.when(high & (F.col("label") == 1), 1)).alias("true_positives"),
+        F.count(F.when(high & (F.col("label") == 0), 1)).alias("false_positives"),
+        F.round(F.avg("probability"), 6).alias("mean_probability"))
 
 
 # --- market models ---------------------------------------------------------

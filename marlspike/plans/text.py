@@ -190,19 +190,15 @@ def txt_bigram_relfreq_stripes(spark, sf):
         F.desc("rel_freq"), "w1", "w2").limit(50)
 
 
-SEGMENT_ENTRIES = 500
-
-
 @query("agg_map_merge", f"""
     WITH {LINES}, {BIGRAMS.format(src='toks')},
-    s AS (SELECT w1, w2, count, ceil(count(*) OVER (PARTITION BY w1) / {SEGMENT_ENTRIES}.0)::BIGINT AS slots FROM bc),
-    seg AS (SELECT w1, w2, count, ('0x' || substr(md5(w2), 1, 8))::BIGINT % slots AS segment FROM s)
+    seg AS (SELECT w1, w2, count, ('0x' || substr(md5(w2), 1, 8))::BIGINT % 16 AS segment FROM bc)
     SELECT w1, segment, string_agg(w2 || ':' || count, ',' ORDER BY w2) AS stripe, count(*)::INTEGER AS entries
     FROM seg GROUP BY w1, segment
 """)
 def agg_map_merge(spark, sf):
-    """Stripes of bigram followers, hot heads dealt over several segments."""
-    striped = X.stripes(cut_lineage(X.bigram_counts(lines(spark, sf))), "w1", "w2", SEGMENT_ENTRIES)
+    """Stripes of bigram followers, each head dealt over 16 segments."""
+    striped = X.stripes(X.bigram_counts(lines(spark, sf)), "w1", "w2")
     text = F.transform(F.map_entries("stripe"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
     return striped.select("w1", "segment", F.array_join(text, ",").alias("stripe"), F.size("stripe").alias("entries"))
 
@@ -299,8 +295,8 @@ def doc_pmi_positional(spark, sf):
 
 
 @query("doc_pmi_positional_stripes", f"""
-    {POSITIONAL} SELECT x, 0::BIGINT AS segment,
-      string_agg(y || ':' || printf('%.6f', pmi) || ':' || count, ' ' ORDER BY y) AS stripe FROM pmi GROUP BY x
+    {POSITIONAL} SELECT x, ('0x' || substr(md5(y), 1, 8))::BIGINT % 16 AS segment,
+      string_agg(y || ':' || printf('%.6f', pmi) || ':' || count, ' ' ORDER BY y) AS stripe FROM pmi GROUP BY ALL
 """)
 def doc_pmi_positional_stripes(spark, sf):
     striped = X.positional_stripes(X.positional_pmi(lines(spark, sf)).withColumn("pmi", F.round("pmi", 6)))

@@ -6,14 +6,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 100_000
 
-
-def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One CSV file with a header, for small reports; larger results are refused."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows; write a partitioned table instead")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with headers, one per partition, for results of any size."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
