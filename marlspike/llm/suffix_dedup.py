@@ -1,16 +1,16 @@
 """Exact removal of long repeated byte strings across all documents.
 
 A string of ``LENGTH`` bytes is a window. Each window belongs to the least hash of the
-``K``-byte strings inside it, so equal windows have equal owners; consecutive windows of
-one owner are a run. Runs are dealt by owner:
+``K``-byte strings inside it, so equal windows have equal owners; consecutive windows
+owned by one place are a run, whose windows all differ. Runs are dealt by owner:
 
 1. An owner met once has no repeats. Runs whose bytes are met twice repeat wholly.
 2. Where an owner has different runs, one of each goes to a shard. The shard's bytes are
    suffix-sorted by external induced sorting (``induced``), which carries common
    prefixes along; neighbours that share ``LENGTH`` bytes mark repeated windows.
-3. An owner with more bytes than a shard holds (a passage in very many contexts) is
-   dealt over several shards by content; their distinct windows are then compared by
-   128-bit hashes.
+3. An owner with more bytes than a shard holds (a passage in very many contexts) is dealt
+   again by the least of longer strings (``STEPS``), which fewer of its runs share; at
+   last by the windows themselves, where equal owners are equal windows.
 
 Matches never cross documents; bytes are those of the UTF-8 text. A null text is empty.
 Texts under ``LENGTH`` bytes have no windows. Repeated rows repeat each other. Bytes
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from marlspike.llm.induced import sorted_suffixes
 from marlspike.llm.scratch import stored, thinned
 
 LENGTH, K = 200, 32
-#: Windows of a run at most; longer ones (periodic text) are cut.
-RUN_WINDOWS = 1 << 12
+#: Lengths of the strings by which owners with too many bytes are dealt again, before whole windows.
+STEPS = (96, 160, 192)
 #: Bytes that one shard sorts.
 SHARD_BYTES = 1 << 20
 _A, _B = B.U(0x9E3779B97F4A7C15), B.U(0xC2B2AE3D27D4EB4F)
@@ -60,19 +61,22 @@ def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, mult: n
     return B.mix((total[ends] - total[starts]) * have[1][starts] + (ends - starts).astype(np.uint64) * _B)
 
 
-def window_owners(data: np.ndarray, length: int = LENGTH, k: int = K) -> np.ndarray:
-    """Owner of the window at each place (the last ``length - 1`` places have none)."""
+def window_owners(data: np.ndarray, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """Owner of the window at each place (the last ``length - 1`` places have none), and whether its last string owns it."""
     h, span = B._BYTE[data], 1
     while span < k:
-        h = h[:-span] * (_A + B.U(2 * span)) + h[span:]
-        span *= 2
+        step = min(span, k - span)
+        h = h[:-step] * (_A + B.U(2 * span)) + h[step:]
+        span += step
         h ^= h >> B.U(31)
-    low, span = B.mix(h), 1
+    strings = B.mix(h)
+    low, span = strings, 1
     width = length - k + 1
     while 2 * span <= width:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
-    return np.minimum(low[: len(low) - (width - span)], low[width - span:])
+    low = np.minimum(low[: len(low) - (width - span)], low[width - span:])
+    return low, low == strings[width - 1:]
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = K):
@@ -81,41 +85,39 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
     if not (sizes > 0).any():
         z = np.zeros(0, np.int64)
         return z, z, z, z.astype(np.uint64), z.astype(np.uint64)
-    owners = window_owners(data, length, k)
+    owners, last = window_owners(data, length, k)
     text = np.flatnonzero(sizes > 0)
     n_each = sizes[text]
     total = int(n_each.sum())
     heads = np.cumsum(n_each) - n_each
     place = np.arange(total) - np.repeat(heads, n_each) + np.repeat(offsets[text], n_each)
     own = owners[place]
-    fresh = np.ones(total, dtype=bool)
-    fresh[1:] = (own[1:] != own[:-1]) | (place[1:] != place[:-1] + 1)
+    # a new owner, or the same one at a new place
+    fresh = last[place]
+    fresh[heads] = True
+    fresh[1:] |= own[1:] != own[:-1]
     at = np.flatnonzero(fresh)
     count = np.diff(np.append(at, total))
-    if len(count) and count.max() > RUN_WINDOWS:  # cut at multiples of the limit from the run's start
-        parts = -(-count // RUN_WINDOWS)
-        within = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        rest = np.repeat(count, parts) - within * RUN_WINDOWS
-        at = np.repeat(at, parts) + within * RUN_WINDOWS
-        count = np.minimum(rest, RUN_WINDOWS)
     starts = place[at]
     of = np.repeat(text, n_each)[at]
     content = _span_hashes(data, starts, starts + count + length - 1, _A)
     return of, starts - offsets[of], count, own[at], content
 
 
-def _runs(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """``uid, start, n, owner, content`` of every run of ``docs`` (uid, text)."""
+def _runs(pieces: DataFrame, length: int, k: int) -> DataFrame:
+    """``uid, start, n, owner, content`` of every run of ``pieces`` (uid, at: place in the text, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, offsets in B.slices(batch.column(1)):
+            base = batch.column(1).to_numpy()
+            for first, _, data, offsets in B.slices(batch.column(2)):
                 of, start, n, owner, content = runs_of(data, offsets, length, k)
+                of = of + first
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(of + first)), pa.array(start, pa.int32()), pa.array(n, pa.int32()),
+                    [batch.column(0).take(pa.array(of)), pa.array(start + base[of], pa.int32()), pa.array(n, pa.int32()),
                      pa.array(owner.view(np.int64)), pa.array(content.view(np.int64))], ["uid", "start", "n", "owner", "content"])
 
-    return docs.select("uid", "text").mapInArrow(run, "uid long, start int, n int, owner long, content long")
+    return pieces.select("uid", "at", "bytes").mapInArrow(run, "uid long, start int, n int, owner long, content long")
 
 
 def repeated_windows(pieces: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
@@ -143,33 +145,18 @@ def _intervals(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shards(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """Sort shards of ``shard, split, uid, start, n, bytes``.
-
-    Rows out: ``uid, start, n`` of repeated windows; for split owners also one row per window with its hashes.
-    """
-    schema = "uid long, start int, n int, hash_a long, hash_b long"
+    """``uid, start, n``: repeated windows of sorted shards (``shard, uid, start, n, bytes``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sorted_out(rows):
-            data = [r[5] for r in rows]
-            flags = repeated_windows(data, np.array([r[4] for r in rows]), length)
+            flags = repeated_windows([r[4] for r in rows], np.array([r[3] for r in rows]), length)
             uid, start, n = [], [], []
             for r, f in zip(rows, flags):
                 a, b = _intervals(f)
-                uid += [r[2]] * len(a)
-                start += (r[3] + a).tolist()
+                uid += [r[1]] * len(a)
+                start += (r[2] + a).tolist()
                 n += (b - a).tolist()
-            none = pa.nulls(len(uid), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32()), none, none],
-                                             ["uid", "start", "n", "hash_a", "hash_b"])
-            for r in rows:
-                if r[1]:
-                    raw = np.frombuffer(r[5], dtype=np.uint8)
-                    at = np.arange(r[4])
-                    ha, hb = (_span_hashes(raw, at, at + length, m).view(np.int64) for m in (_A, _B))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[2]] * r[4], pa.int64()), pa.array(r[3] + at, pa.int32()), pa.array(np.ones(r[4]), pa.int32()), pa.array(ha), pa.array(hb)],
-                        ["uid", "start", "n", "hash_a", "hash_b"])
+            yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32())], ["uid", "start", "n"])
 
         rows, held = [], 0
         for batch in batches:
@@ -178,58 +165,60 @@ def _shards(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                     yield from sorted_out(rows)
                     rows, held = [], 0
                 rows.append(r)
-                held += len(r[5])
+                held += len(r[4])
         if rows:
             yield from sorted_out(rows)
 
-    dealt = pieces.select("shard", "split", "uid", "start", "n", "bytes").repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, schema)
+    dealt = pieces.select("shard", "uid", "start", "n", "bytes").repartition("shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(run, "uid long, start int, n int")
 
 
-def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the runs in ``wanted`` (uid, runs: list of shard, split, start, n)."""
+def _cut(docs: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """``shard, uid, start, n, bytes`` of the runs that stand for ``contents``; their owner is the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["shard", "split", "uid", "start", "n", "bytes"]
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 out = []
                 for uid, text, runs in zip(*(c.to_pylist() for c in batch.slice(first, 64).columns)):
                     raw = text.encode()
-                    out += [(r["shard"], r["split"], uid, r["start"], r["n"], raw[r["start"]:r["start"] + r["n"] + length - 1]) for r in runs]
-                columns = list(zip(*out)) or [()] * 6
-                kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                    out += [(r["owner"], uid, r["start"], r["n"], raw[r["start"]:r["start"] + r["n"] + length - 1]) for r in runs]
+                columns = list(zip(*out)) or [()] * 5
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "uid", "start", "n", "bytes"])
 
+    wanted = contents.select(F.col("one.uid").alias("uid"), F.struct("owner", "one.start", "one.n").alias("run"))
+    wanted = stored(wanted.groupBy("uid").agg(F.collect_list("run").alias("runs")), "wanted")
     # a row that stands twice is cut twice: its windows repeat anyway
     return thinned(docs, "uid", wanted).join(wanted, "uid").select("uid", "text", "runs").mapInArrow(
-        run, "shard long, split boolean, uid long, start int, n int, bytes binary")
+        run, "shard long, uid long, start int, n int, bytes binary")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, k: int = K, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``uid, spans``: for texts of ``docs`` (uid, text) with repeated windows, their (start, n) in bytes."""
-    runs = stored(_runs(docs, length, k), "runs")
-    owners = runs.groupBy("owner").agg(F.count("*").alias("met"), F.min("content").alias("least"), F.max("content").alias("most"))
-    owners = stored(owners.filter("met > 1").select("owner", (F.col("least") != F.col("most")).alias("mixed")), "owners")
-    again = stored(runs.join(owners, "owner"), "again")
-    contents = stored(again.filter("mixed").groupBy("owner", "content").agg(
-        F.count("*").alias("met"), F.min_by(F.struct("uid", "start", "n"), F.struct("uid", "start")).alias("one")), "contents")
-    whole = again.filter(~F.col("mixed")).select("uid", "start", "n").unionByName(
-        again.filter("mixed").join(contents.filter("met > 1").select("owner", "content"), ["owner", "content"]).select("uid", "start", "n"))
-
-    parts = stored(contents.groupBy("owner").agg(F.ceil(F.sum(F.col("one.n") + length - 1) / shard_bytes).alias("parts")), "parts")
-    dealt = contents.join(parts, "owner").select(
-        F.col("one.uid").alias("uid"), F.struct(
-            F.xxhash64("owner", F.pmod("content", "parts")).alias("shard"), (F.col("parts") > 1).alias("split"), "one.start", "one.n").alias("run"))
-    wanted = stored(dealt.groupBy("uid").agg(F.collect_list("run").alias("runs")), "wanted")
-    found = stored(_shards(_cut(docs, wanted, length), length, shard_bytes), "found")
-
-    windows = found.filter(F.col("hash_a").isNotNull())
-    twice = stored(windows.groupBy("hash_a", "hash_b").agg(F.count("*").alias("met")).filter("met > 1").select("hash_a", "hash_b"), "twice")
-    across = windows.join(twice, ["hash_a", "hash_b"]).select("uid", "start", "n")
-    spans = whole.unionByName(found.filter(F.col("hash_a").isNull()).select("uid", "start", "n")).unionByName(across)
+    pieces = docs.select("uid", F.lit(0).alias("at"), F.col("text").alias("bytes"))
+    steps = [k, *(x for x in STEPS if k < x < length), length]
+    spans = []
+    for k in steps:
+        runs = stored(_runs(pieces, length, k), "runs")
+        owners = runs.groupBy("owner").agg(F.count("*").alias("met"), F.min("content").alias("least"), F.max("content").alias("most"))
+        owners = stored(owners.filter("met > 1").select("owner", (F.col("least") != F.col("most")).alias("mixed")), "owners")
+        again = stored(runs.join(owners, "owner"), "again")
+        contents = stored(again.filter("mixed").groupBy("owner", "content").agg(
+            F.count("*").alias("met"), F.min_by(F.struct("uid", "start", "n"), F.struct("uid", "start")).alias("one")), "contents")
+        spans += [again.filter(~F.col("mixed")).select("uid", "start", "n"),
+                  again.filter("mixed").join(contents.filter("met > 1").select("owner", "content"), ["owner", "content"]).select("uid", "start", "n")]
+
+        large = contents.groupBy("owner").agg(F.sum(F.col("one.n") + length - 1).alias("bytes")).filter(F.col("bytes") > shard_bytes)
+        large = stored(large.select("owner"), "large_owners")
+        split = k < length and large.take(1)
+        dealt = contents.join(large, "owner", "left_anti") if split else contents
+        spans.append(stored(_shards(_cut(docs, dealt, length), length, shard_bytes), "found"))
+        if not split:
+            break
+        pieces = _cut(docs, contents.join(large, "owner"), length).select("uid", F.col("start").alias("at"), "bytes")
     # as many spans as the text has runs and windows at most
-    return spans.distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return reduce(DataFrame.unionByName, spans).distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
 def merged(starts: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -144,7 +144,9 @@ def test_suffix_dedup_equals_brute_force(spark, length, k, shard):
     for i in range(100, 220):
         parts = [rnd.choice([prose(rnd.random(), rnd.randrange(0, 90)), rnd.choice(passages), rnd.choice(passages)[rnd.randrange(40):], "ab" * rnd.randrange(0, 90)]) for _ in range(rnd.randrange(0, 6))]
         rows.append((i, "".join(parts)))
-    rows += [(300, "xy" * 3000), (301, prose(77, 700) * 2)]
+    rows += [(300, "xy" * 3000), (301, prose(77, 700) * 2), (302, "qz" * 150), (303, "k" * (length + 1)), (304, "v" * length), (305, prose(78, 90) * 9)]
+    # one passage in many contexts: more than a shard holds
+    rows += [(400 + i, prose(1000 + i, 70) + passages[0] * 2 + prose(2000 + i, 50)) for i in range(60)]
     got = suffix_dedup.dedup(documents(spark, rows, clashing=True).drop("source"), length, k, shard)
     assert sorted((str(r["row"]["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got.collect()) == brute_repeats(rows, length)
 
