@@ -37,12 +37,13 @@ def _lag_change(name: str, k: int, w: WindowSpec) -> Column:
 
 
 def bars(events: DataFrame, ts: str, value: str) -> DataFrame:
-    """Hourly open, high, low, close and volume of a value stream."""
+    """Hourly open, high, low, close and volume of a value stream; of equal times the smallest value opens, the largest closes."""
+    at = F.struct(ts, value)
     return (
         events.groupBy(F.date_trunc("hour", ts).alias("_hour"))
         .agg(
-            F.min_by(value, ts).alias("open"), F.max(value).alias("high"), F.min(value).alias("low"),
-            F.max_by(value, ts).alias("close"), F.sum(value).alias("volume"),
+            F.min_by(value, at).alias("open"), F.max(value).alias("high"), F.min(value).alias("low"),
+            F.max_by(value, at).alias("close"), F.sum(value).alias("volume"),
         )
         .select(F.unix_seconds("_hour").alias("timestamp"),
                 F.col("_hour").cast("timestamp_ntz").alias("hour_ts"),

@@ -101,6 +101,7 @@ def fit(train: DataFrame, kind: str, columns: Sequence[str], label: str, **overr
 
 
 def evaluate(predictions: DataFrame, label: str) -> dict[str, float]:
+    predictions = cut_lineage(predictions.select(label, "prediction", "rawPrediction"))  # read five times
     names = {"accuracy": "accuracy", "weightedPrecision": "precision", "weightedRecall": "recall", "f1": "f1"}
     out = {
         short: MulticlassClassificationEvaluator(labelCol=label, metricName=metric).evaluate(predictions)
