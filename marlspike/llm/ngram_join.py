@@ -165,7 +165,7 @@ def _candidate_pairs(sets: DataFrame, least: int, percent: int) -> DataFrame:
     met = stored(members.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("met"))
                  .filter("a < b"), "met")
     some = met.filter("met > 2").select("gram", "met")
-    again = stored(thinned(members, "gram", some).join(some, "gram"), "again")
+    again = stored(members.join(some, "gram"), "again")
     sizes = sets.select("doc_id", "n_shingles")
 
     few = again.filter(F.col("met") <= FEW).groupBy("gram").agg(F.sort_array(F.collect_set("doc_id")).alias("ids"))  # FEW ids at most
