@@ -34,6 +34,8 @@ from marlspike.llm.scratch import stored, thinned
 LENGTH, K = 200, 32
 #: Lengths of the strings by which owners with too many bytes are dealt again, before whole windows.
 STEPS = (96, 160, 192)
+#: Bytes of texts whose runs are found at a time.
+SLICE_BYTES = 1 << 18
 #: Bytes that one shard sorts.
 SHARD_BYTES = 1 << 20
 _A, _B = B.U(0x9E3779B97F4A7C15), B.U(0xC2B2AE3D27D4EB4F)
@@ -51,11 +53,11 @@ def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, mult: n
     n = len(data)
     have = _powers.get(int(mult))
     if have is None or len(have[0]) < n:
-        m = max(n, 2 * B.SLICE_BYTES)
+        m = max(n, 2 * SLICE_BYTES)
         up = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m, mult, np.uint64))])
         down = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m, _inverse(int(mult)), np.uint64))])
         have = _powers[int(mult)] = (up, down)
-        if n > 2 * B.SLICE_BYTES:
+        if n > 2 * SLICE_BYTES:
             del _powers[int(mult)]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(B._BYTE[data] * have[0][:n], dtype=np.uint64)])
     return B.mix((total[ends] - total[starts]) * have[1][starts] + (ends - starts).astype(np.uint64) * _B)
@@ -110,7 +112,7 @@ def _runs(pieces: DataFrame, length: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base = batch.column(1).to_numpy()
-            for first, _, data, offsets in B.slices(batch.column(2)):
+            for first, _, data, offsets in B.slices(batch.column(2), SLICE_BYTES):
                 of, start, n, owner, content = runs_of(data, offsets, length, k)
                 of = of + first
                 yield pa.RecordBatch.from_arrays(
