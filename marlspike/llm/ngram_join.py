@@ -12,7 +12,8 @@
    connect components come out, never all pairs of a group.
 4. A candidate component over ``UNIT_GRAMS`` n-grams is joined in blocks. Pairs across
    blocks need a search only where a document isn't yet in the largest component
-   found: those documents are searched in every block, which makes the result exact.
+   found: those documents are dealt to groups, and each group is searched in every block,
+   which makes the result exact. A task holds one block and one group at a time.
 
 Words are runs of non-white-space with A-Z folded. A text with fewer words than n is one
 n-gram, its whole sequence; a text without words, or null, has none and links with
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from marlspike.llm import bytetext as B
 from marlspike.llm.components import components
@@ -40,7 +41,7 @@ FEW = 16
 #: Buckets of the global order: broadcast as 32-bit counts, 4 MB.
 ORDER_BITS = 20
 _RANGES = 16
-#: N-grams that one task joins at a time.
+#: N-grams of a block and of a group of probes, besides their last set; a task joins one of each at a time.
 UNIT_GRAMS = 1 << 21
 
 
@@ -128,14 +129,14 @@ def described(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
 
 
 def _unit_links(units: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """``a, b, unit``: connecting links inside each unit of ``unit, probe, doc_id, text`` (probe null: all pairs)."""
+    """``a, b, unit``: connecting links inside each unit of ``unit, probe, doc_id, text`` (probe null: all pairs, else those of a probe and another)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
 
         def joined(unit, ids, sets, probes):
             flags = None if not probes or probes[0] is None else np.array(probes, dtype=bool)
-            pairs = linked(sets, lambda h: rank[bucket_of(h)], percent, flags)
+            pairs = linked(sets, lambda h: rank[bucket_of(h)], percent, flags, flags is not None)
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i, _ in pairs], pa.int64()), pa.array([ids[j] for _, j in pairs], pa.int64()),
                  pa.array([unit] * len(pairs), pa.string())], ["a", "b", "unit"])
@@ -197,20 +198,16 @@ def near_groups(docs: DataFrame, n: int = 5, percent: int = 80, unit_grams: int
     # one set of each class; a component of one class needs no search
     candidates = stored(candidates.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node"), "candidates")
 
-    # blocks of a candidate component, dealt by hash
-    blocks = candidates.groupBy("component").agg(F.ceil(F.sum("n_shingles") / unit_grams).alias("n_blocks"), F.countDistinct("node").alias("nodes"))
-    blocks = stored(blocks.filter("nodes > 1").select("component", "n_blocks"), "blocks")
-    candidates = candidates.select("node", "component").distinct()
-    placed = candidates.join(blocks, "component").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks"))).withColumnRenamed("node", "doc_id")
-    placed = stored(placed, "placed")
+    candidates = candidates.groupBy("component", F.col("node").alias("doc_id")).agg(F.sum("n_shingles").alias("n_shingles"))
+    several = stored(candidates.groupBy("component").count().filter("count > 1").select("component"), "several")
+    placed = stored(_dealt(candidates.join(several, "component"), "block", unit_grams), "placed")
     unit = F.concat_ws(":", "component", "block")
     rep_texts = thinned(docs, "doc_id", placed).join(placed, "doc_id")
     links = stored(_unit_links(rep_texts.select(unit.alias("unit"), F.lit(None).cast("boolean").alias("probe"), "doc_id", "text"), n, percent, order), "links")
 
-    split = stored(placed.filter("n_blocks > 1"), "split")
+    split = stored(placed.filter("n_parts > 1").drop("n_parts"), "split")
     if split.take(1):
-        links = links.unionByName(_across_blocks(docs, split, links, n, percent, order))
+        links = links.unionByName(_across_blocks(docs, split, links, n, percent, order, unit_grams))
     found = stored(components(links, "a", "b"), "found")
 
     out = sets.join(classes, sig, "left").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -219,7 +216,20 @@ def near_groups(docs: DataFrame, n: int = 5, percent: int = 80, unit_grams: int
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
-def _across_blocks(docs: DataFrame, split: DataFrame, links: DataFrame, n: int, percent: int, order) -> DataFrame:
+def _dealt(rows: DataFrame, name: str, unit_grams: int) -> DataFrame:
+    """``rows`` (component, doc_id, n_shingles) with ``n_parts`` and the part of its component, ``name``.
+
+    Documents are dealt by hash; a part that got more than ``unit_grams`` n-grams is cut in
+    the order of ids, so that none holds ``unit_grams`` before its last document.
+    """
+    parts = stored(rows.groupBy("component").agg(F.ceil(F.sum("n_shingles") / unit_grams).alias("n_parts")), "parts")
+    rows = stored(rows.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("n_parts"))), "dealt")
+    before = F.sum("n_shingles").over(Window.partitionBy("component", "part").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_shingles")
+    cut = rows.filter("n_parts > 1").withColumn(name, F.concat_ws(".", "part", F.floor(before / unit_grams)))
+    return rows.filter("n_parts = 1").withColumn(name, F.lit("0")).unionByName(cut).drop("part")
+
+
+def _across_blocks(docs: DataFrame, split: DataFrame, links: DataFrame, n: int, percent: int, order, unit_grams: int) -> DataFrame:
     """Links between blocks of one candidate component."""
 
     def labelled(edges: DataFrame, label: str) -> DataFrame:
@@ -230,16 +240,21 @@ def _across_blocks(docs: DataFrame, split: DataFrame, links: DataFrame, n: int,
         return rows.groupBy(*by, "root").count().groupBy(*by).agg(F.max_by("root", F.struct("count", -F.col("root"))).alias("root"))
 
     # one document of the largest component of each block
-    hubs = largest(labelled(links, "local"), "component", "block").select(
-        F.concat_ws(":", F.lit("hub"), "component").alias("unit"), F.lit(None).cast("boolean").alias("probe"), F.col("root").alias("doc_id"))
+    hubs = largest(labelled(links, "local"), "component", "block").select("component", F.col("root").alias("doc_id"))
+    hubs = _dealt(hubs.join(split.select("doc_id", "n_shingles"), "doc_id"), "group", unit_grams).select(
+        F.concat_ws(":", F.lit("hub"), "component", "group").alias("unit"), F.lit(None).cast("boolean").alias("probe"), "doc_id")
+    hubs = stored(hubs, "hubs")
     between = stored(_unit_links(hubs.join(thinned(docs, "doc_id", hubs), "doc_id"), n, percent, order), "hub_links")
     rows = labelled(links.unionByName(between), "joined")
     main = stored(largest(rows, "component").withColumnRenamed("root", "main"), "main")
-    apart = rows.join(main, "component").filter("root != main").select("component", "doc_id", "n_blocks", F.col("block").alias("home"))
-    sought = apart.select("component", "doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"), "home")
-    sought = sought.select(F.concat_ws(":", "component", "block").alias("unit"), F.lit(True).alias("probe"), "doc_id")
-    held = rows.join(sought.select("doc_id").distinct(), "doc_id", "left_anti").select(
-        F.concat_ws(":", "component", "block").alias("unit"), F.lit(False).alias("probe"), "doc_id")
+    apart = rows.join(main, "component").filter("root != main").select("component", "doc_id", "n_shingles", F.col("block").alias("home"))
+    apart = stored(_dealt(apart, "group", unit_grams), "apart")
+    # every group meets every block; inside its own block a document has been searched
+    unit = F.concat_ws(":", "component", "block", "group")
+    blocks = stored(rows.select("component", "block").distinct(), "blocks")
+    groups = stored(apart.select("component", "group").distinct(), "groups")
+    sought = apart.join(blocks, "component").filter("block != home").select(unit.alias("unit"), F.lit(True).alias("probe"), "doc_id")
+    held = rows.join(groups, "component").select(unit.alias("unit"), F.lit(False).alias("probe"), "doc_id")
     units = sought.unionByName(held).join(thinned(docs, "doc_id", rows), "doc_id")
     return stored(between.unionByName(_unit_links(units, n, percent, order)), "across")
 

@@ -83,14 +83,15 @@ class PrefixTree:
         for node in self.nodes:
             node.label = int(label[node.lo]) if change[node.hi - 1] == change[node.lo] else -1
 
-    def links(self, percent: int, n_tokens: int, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
+    def links(self, percent: int, n_tokens: int, probes: np.ndarray | None = None, across: bool = False) -> list[tuple[int, int]]:
         """Pairs that connect what is linked, without those that would close a circle.
 
         Sets link when 100 * overlap >= percent * union. With ``probes`` (flags), only
-        pairs with at least one of them are sought.
+        pairs with at least one of them are sought; ``across``: with exactly one.
         """
         union, out, fresh = Union(len(self.sets)), [], 0
         flags = np.zeros(n_tokens, dtype=bool)
+        held = np.concatenate([[0], np.cumsum(~probes[self.order])]) if across else None
         for rank in range(len(self.sets)):
             x = self.order[rank]
             if probes is not None and not probes[x]:
@@ -107,6 +108,8 @@ class PrefixTree:
                 # pairs of two probes were met from the one that sorts first
                 if node.most < shortest or node.least > longest or (probes is None and node.hi <= rank + 1):
                     continue
+                if across and held[node.lo] == held[node.hi]:
+                    continue
                 if node.label >= 0 and union.find(node.label) == union.find(x):
                     continue
                 left = len(own)
@@ -119,6 +122,8 @@ class PrefixTree:
                     continue
                 for k in range(node.lo, node.ends):
                     y = self.order[k]
+                    if across and probes[y]:
+                        continue
                     if k != rank and 100 * overlap >= percent * (size + int(self.sizes[k]) - overlap) and union.join(x, y):
                         out.append((x, y))
                         fresh += 1
@@ -130,7 +135,8 @@ class PrefixTree:
         return out
 
 
-def linked(sets: list[np.ndarray], rank_of: Callable[[np.ndarray], np.ndarray] | None, percent: int, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
+def linked(sets: list[np.ndarray], rank_of: Callable[[np.ndarray], np.ndarray] | None, percent: int, probes: np.ndarray | None = None,
+           across: bool = False) -> list[tuple[int, int]]:
     """Connecting pairs among sets of 64-bit hashes; ``rank_of`` ranks hashes, rare ones first."""
     if len(sets) < 2:
         return []
@@ -147,4 +153,4 @@ def linked(sets: list[np.ndarray], rank_of: Callable[[np.ndarray], np.ndarray] |
         part = inverse[at:at + n]
         own.append(np.sort(place[part[common[part]]]))
         at += n
-    return PrefixTree(own, sizes).links(percent, max(1, len(kept)), probes)
+    return PrefixTree(own, sizes).links(percent, max(1, len(kept)), probes, across)

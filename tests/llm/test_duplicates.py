@@ -67,6 +67,24 @@ def test_near_groups_equal_brute_force(spark, n, percent, unit):
             assert r["component_id"] == want[r["doc_id"]] and r["n_shingles"] in sizes[r["doc_id"]], r
 
 
+def test_units_of_a_large_candidate_component_stay_bounded(spark, monkeypatch):
+    rnd = random.Random(8)
+    passages = [sentences(50 + k, 12, 900) for k in range(12)]
+    rows = [(i, " ".join(rnd.sample(passages, 5))) for i in range(120)]  # frequent passages, few near copies
+    unit, n, seen, join = 1500, 4, collections.Counter(), ngram_join._unit_links
+
+    def spied(units, *args):
+        for r in units.select("unit", "text").collect():
+            seen[r["unit"]] += len({tuple(r["text"].split()[k:k + n]) for k in range(len(r["text"].split()) - n + 1)})
+        return join(units, *args)
+
+    monkeypatch.setattr(ngram_join, "_unit_links", spied)
+    want, sizes = brute_groups(rows, n, 80)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_groups(documents(spark, rows), n, 80, unit).collect()}
+    assert got == want and 1 < len(set(want.values())) < len(rows)
+    assert len(seen) > 5 and max(seen.values()) <= 2 * (unit + max(sizes[i][0] for i in sizes))
+
+
 def test_keep_one(spark):
     docs = documents(spark, awkward(), clashing=True)
     out = ngram_join.keep_one(docs)
