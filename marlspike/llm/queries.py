@@ -8,7 +8,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlspike.llm import bpe, langid, license_scan, ngram_join, packing, preference, quality_rules, suffix_dedup, vector_links, warc
+from marlspike.llm import (
+    bpe, burst_trie, langid, license_scan, ngram_join, packing, preference, quality_rules, repair, sharding, suffix_dedup, vector_links, warc)
+from marlspike.llm.scratch import stored
+from marlspike.llm.streamed import joined_sha256
 from marlspike.session import scratch_path
 from marlspike.sources.tables import table
 
@@ -111,3 +114,34 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.swapped_replies(table(spark, sf_dir, "conversations"))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string"))), ",")
     return preference.format_pairs(pairs).withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = burst_trie.rebuilt(table(spark, sf_dir, "conversations"))
+    return burst_trie.nodes(rebuilt)
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    done = sharding.sharded(docs, 8, group=F.col("text"), order=F.col("doc_id"), size=size)
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), "size", F.crc32(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    rows = repair.numbered(repair.damaged(given))
+    reports = stored(repair.report(rows), "reports")
+    turns = repair.repaired(rows, reports).select("conv_id", "position", F.concat("role", F.lit(":"), "text").alias("line"))
+    found = reports.join(repair.gaps(rows).withColumnRenamed("conv_id", "g"), F.col("conv_id").eqNullSafe(F.col("g")))
+    shas = joined_sha256(turns, "conv_id", "position", "line", "\n").withColumnRenamed("conv_id", "s")
+    found = found.join(shas, F.col("conv_id").eqNullSafe(F.col("s")), "left").drop("g", "s", "rn", "n").withColumnRenamed("conv_id", "c")
+    longs = ["gaps", *repair.COUNTS, "cost"]
+    return given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in longs], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))

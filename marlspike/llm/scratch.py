@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from marlspike.session import scratch_path
 
@@ -26,3 +26,18 @@ def thinned(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
     return rows.withColumn("__slot", slot).join(
         F.broadcast(keys.select(slot.alias("__slot")).distinct()), "__slot", "left_semi").drop("__slot")
+
+
+def ordered(df: DataFrame, order: list, label: str) -> DataFrame:
+    """``df`` sorted by ``order`` over range partitions and stored, with ``rn``, the row's place from 0.
+
+    Rows that tie in ``order`` must be interchangeable; a last random key spreads them over partitions.
+    """
+    salted = df.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id()))
+    at = F.monotonically_increasing_id()  # the partition's number above 33 bits of the place in it
+    parts = stored(salted.repartitionByRange(*order, "__salt").sortWithinPartitions(*order, "__salt").drop("__salt").withColumns(
+        {"__part": F.shiftright(at, 33), "__at": at.bitwiseAND(F.lit((1 << 33) - 1))}), label)
+    sizes = parts.groupBy("__part").agg(F.count("*").alias("n"))  # a row per partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    return parts.join(F.broadcast(first), "__part").withColumn("rn", F.col("__first") + F.col("__at")).drop("__part", "__at", "__first")
