@@ -13,8 +13,10 @@
 4. Buckets give counts per vector and only the links that connect components.
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without
-label, link with nothing. Vectors of different lengths don't link. Rows that repeat a
-``vec_id`` with an equal vector are other vectors to each other: each counts.
+label, link with nothing. Vectors of different lengths don't link. Every row gives one
+row. Rows that repeat a ``vec_id`` are other vectors to each other: each counts. A row
+without ``vec_id`` links like any other, but cannot name its component; a component
+without any id has a null name.
 """
 
 from __future__ import annotations
@@ -87,24 +89,25 @@ def collisions(left: np.ndarray, right: np.ndarray, half: float) -> np.ndarray:
     return count[:, :-1]
 
 
-def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep vectors that can link, as unit vectors of doubles and a digest of the raw vector."""
+def _unit(vector: list | None, label: object) -> list[float] | None:
+    """The vector at length 1; null if it cannot link."""
+    if vector is None or label is None or not vector or any(x is None for x in vector):
+        return None
+    x = np.array(vector, dtype=np.float64)
+    top = np.abs(x).max()
+    if not np.isfinite(x).all() or top == 0:
+        return None
+    x = x / top  # so that squares neither vanish nor overflow
+    return (x / np.sqrt(x @ x)).tolist()
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row, with its unit vector."""
     for batch in batches:
-        ids, vectors, labels = (batch.column(k).to_pylist() for k in range(3))
-        keep, units = [], []
-        for i, (v, label) in enumerate(zip(vectors, labels)):
-            if v is None or label is None or not v or any(x is None for x in v):
-                continue
-            x = np.array(v, dtype=np.float64)
-            top = np.abs(x).max()
-            if not np.isfinite(x).all() or top == 0:
-                continue
-            x = x / top  # so that squares neither vanish nor overflow
-            keep.append(i)
-            units.append((x / np.sqrt(x @ x)).tolist())
+        vectors, labels = (batch.column(k).to_pylist() for k in (1, 2))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in keep], pa.int64()), pa.array([str(labels[i]) for i in keep], pa.string()), pa.array(units, pa.list_(pa.float64()))],
-            ["vec_id", "label", "unit"])
+            [batch.column(0), pa.array([None if x is None else str(x) for x in labels], pa.string()),
+             pa.array([_unit(v, x) for v, x in zip(vectors, labels)], pa.list_(pa.float64()))], ["vec_id", "label", "unit"])
 
 
 def _table_rows(classes: DataFrame) -> DataFrame:
@@ -175,11 +178,15 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
 def links(vectors: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET, tile: int = TILE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding, label)."""
     vectors = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("embedding"), vectors["label"].alias("label"))
-    usable = stored(vectors.mapInArrow(_usable, "vec_id long, label string, unit array<double>").withColumn("digest", F.xxhash64("unit")), "usable")
-    classes = usable.groupBy("label", "digest").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
+    digest = F.when(F.col("unit").isNotNull(), F.struct(F.xxhash64("unit").alias("a"), F.xxhash64(F.lit(SEED), "unit").alias("b")))
+    every = stored(vectors.mapInArrow(_units, "vec_id long, label string, unit array<double>").withColumn("digest", digest), "vectors")
+    usable = every.filter("unit IS NOT NULL")
+    # ids may be null or stand on several vectors, so classes are numbered
+    classes = usable.groupBy("label", "digest").agg(F.min("vec_id").alias("name"), F.count("*").alias("copies"), F.first("unit").alias("unit")).withColumn(
+        "cls", F.monotonically_increasing_id())
     sizes = usable.groupBy("label").agg(F.count("*").alias("rows"))
     bits = F.least(F.greatest(F.floor(F.log2(F.col("rows") / bucket)) + 1, F.lit(0)), F.lit(MOST_BITS)).cast("long")
-    classes = stored(classes.join(stored(sizes, "sizes"), "label").withColumn("bits", bits), "classes")
+    classes = stored(stored(classes, "numbered").join(stored(sizes, "sizes"), "label").withColumn("bits", bits), "classes")
 
     rows = stored(_table_rows(classes), "tables")
     cell = ["label", "dims", "tab", "bucket"]
@@ -194,8 +201,11 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET
     counts = found.filter(F.col("b").isNull()).groupBy("a").agg(F.sum("n").alias("n"))
     groups = components(found.filter(F.col("b").isNotNull()), "a", "b")
     about = stored(classes.join(counts, classes["cls"] == counts["a"], "left").join(groups, classes["cls"] == groups["node"], "left").select(
-        "label", "digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component_id")), "about")
-    linked = usable.select("vec_id", "label", "digest").join(about, ["label", "digest"]).select("vec_id", "n_links", "component_id")
-    alone = vectors.join(usable.select(F.col("vec_id").alias("of")).distinct(), vectors["vec_id"] == F.col("of"), "left_anti").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+        "label", "digest", "name", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component")), "about")
+    names = stored(about.groupBy("component").agg(F.min("name").alias("component_id")), "names")
+    about = about.join(names, "component").select("label", "digest", "n_links", "component_id")
+    linked = every.select("vec_id", "label", "digest").join(about, ["label", "digest"], "left")
+    return linked.select(
+        "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id")).withColumn(
+        "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
