@@ -84,9 +84,10 @@ class WordTokens:
             text = piece.decode()
             if max(text) >= "ƀ":
                 return packed(self.whole.encode(text, add_special_tokens=False).ids)
+            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+            # lower-casing may end a letter in a mark, which then belongs to the marks after it
             if piece[-1] < 128 and not piece[-1:].isalnum() and len(piece) > 1 and text[:-1].isalpha():
                 return self.cache[piece[:-1]] + self.cache[piece[-1:]]
-            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
             if text.isalpha():
                 return self.word(text.encode() + b"\xff")
         if "<|" in text:
