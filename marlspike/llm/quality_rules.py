@@ -31,6 +31,8 @@ FEATURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars",
 #: Candidate thresholds per feature: midway between quantiles of the bad and the good rows, so many of each.
 BINS = 24
 MAX_RULES, MAX_CONDITIONS = 8, 3
+#: Rules that may fail; the covering then starts from the next best condition.
+MAX_FAILED = 8
 #: A rule must reject at least this share of bad rows in both parts, and cover so many growing rows.
 LEAST_PRECISION, LEAST_COVER = 0.95, 5
 #: Base limits.
@@ -152,8 +154,8 @@ def learn(labelled: DataFrame, bad: Column) -> list[Rule]:
         return p * (math.log2(p / n) - of) if p else 0.0
 
     left, rules = ~F.col("prune"), []
-    unpruned = F.col("prune")
-    while len(rules) < MAX_RULES:
+    unpruned, failed = F.col("prune"), set()
+    while len(rules) < MAX_RULES and len(failed) <= MAX_FAILED:
         rule: Rule = ()
         while len(rule) < MAX_CONDITIONS:
             cells = tally(left & _matches(rule, own))
@@ -166,8 +168,9 @@ def learn(labelled: DataFrame, bad: Column) -> list[Rule]:
                 for b, c in enumerate(cuts[f]):
                     below, below_bad = below + cells[f][b][0], below_bad + cells[f][b][1]
                     for above, n, p in ((True, total - below, hits - below_bad), (False, below, below_bad)):
-                        if n >= LEAST_COVER and n < total and (g := gain(p, n, of)) > (best[0] if best else 1e-9):
-                            best = (g, Condition(f, above, float(c)))
+                        more = Condition(f, above, float(c))
+                        if n >= LEAST_COVER and n < total and (rule or more not in failed) and (g := gain(p, n, of)) > (best[0] if best else 1e-9):
+                            best = (g, more)
             if best is None:
                 break
             rule += (best[1],)
@@ -181,19 +184,23 @@ def learn(labelled: DataFrame, bad: Column) -> list[Rule]:
         k = 1 + max(range(len(rule)), key=lambda i: (worth[i], -i))
         n, p = grown[f"n{k}"], grown[f"p{k}"] or 0
         if n < LEAST_COVER or p < LEAST_PRECISION * n or held[f"n{k}"] and (held[f"p{k}"] or 0) < LEAST_PRECISION * held[f"n{k}"]:
-            break
+            failed.add(rule[0])
+            continue
         rules.append(rule[:k])
         left, unpruned = left & ~_matches(rule[:k], own), unpruned & ~_matches(rule[:k], own)
     return rules
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Statistics of every document with ``base_failed`` and ``kept``; rules learned from ``labels`` (doc_id, quality 0/1)."""
+    """Statistics of every document with ``base_failed`` and ``kept``.
+
+    Rules are learned from ``labels`` (doc_id, quality 0/1) of the documents that pass the base limits.
+    """
     stats = stored(statistics(docs), "statistics")
     known = labels.select(F.col("doc_id").alias("of"), F.col("quality").alias("quality"))
     flat = stats.select(F.col("row.doc_id").alias("doc_id"), *[c for c in stats.columns if c != "row"])
     labelled = flat.join(known, F.col("doc_id") == F.col("of"))
-    rules = learn(labelled, F.col("quality") == 0)
+    rules = learn(labelled.filter(~base_failed()), F.col("quality") == 0)  # the base limits need no rule
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
