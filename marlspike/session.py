@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "marlspike", cores: int | None = None) -> SparkSession:
@@ -56,3 +58,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder name under the shared checkpoint directory."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on any file system that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> bool:
+    """Move a file or folder; false if the file system refuses, for example because the target is there."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    files = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(b.getParent())
+    return not files.exists(b) and files.rename(a, b)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
+
+
+def fingerprint(df: DataFrame) -> str:
+    """Digest of the files a table is read from: paths, sizes and times of change. Small per-file rows only."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    row = files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    return hashlib.sha1(repr(tuple(row)).encode()).hexdigest()
