@@ -42,15 +42,17 @@ def adjacency(edges: DataFrame) -> DataFrame:
     a null segment.
     """
     e = cut_lineage(distinct_edges(edges))
-    lists = (
+    # both sides are materialised, so that the join can be split at a node with very many segments
+    lists = cut_lineage(
         e.withColumn("segment", F.floor(F.col("dst") / NEIGHBOURS_PER_SEGMENT))
         .groupBy(F.col("src").alias("node"), "segment")
         .agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
     )
-    degrees = lists.groupBy("node").agg(F.sum(F.size("neighbours")).alias("d"))
-    sized = lists.join(degrees, "node")
-    return all_nodes(e).join(sized, "node", "left").select(
-        "node", F.coalesce("d", F.lit(0)).alias("out_degree"), "segment", "neighbours")
+    degrees = cut_lineage(lists.groupBy("node").agg(F.sum(F.size("neighbours")).alias("out_degree")))
+    ends = all_nodes(e).join(degrees, "node", "left_anti").select(
+        "node", F.lit(0).cast("bigint").alias("out_degree"), F.lit(None).cast("bigint").alias("segment"),
+        F.lit(None).cast(lists.schema["neighbours"].dataType).alias("neighbours"))
+    return lists.join(degrees, "node").select("node", "out_degree", "segment", "neighbours").unionByName(ends)
 
 
 def personalized_pagerank(

@@ -15,13 +15,11 @@ from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
 from marlspike.functions.hashing import slot
-from marlspike.operators.series import number_rows
+from marlspike.operators import near
 from marlspike.session import cut_lineage
 
 #: Two words of a line are a pair if at most DISTANCE - 1 tokens apart, so that output stays linear in the text.
 DISTANCE = 40
-#: Tokens that one row of a long line holds, besides the halo of the tokens that follow.
-CHUNK_TOKENS = 4096
 # The count thresholds of the PMI reports.
 PAIR_THRESHOLD = 5
 BIGRAM_THRESHOLD = 10
@@ -122,69 +120,36 @@ def basket_marginals(basket: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(basket: DataFrame, coded: DataFrame, keys: Sequence[str], distance: int, chunk: int) -> DataFrame:
-    """``*keys, many, a``: the coded tokens (pos, id, own) of each chunk of a line, in order.
-
-    A pair belongs to the chunk of its first word. A chunk also has the tokens that
-    follow it within the distance (own false), so no pair is lost at its end.
-    """
-    toks = basket.select(*keys, (F.size("t") > chunk).alias("many"), F.posexplode_outer("t").alias("pos", "token")).filter(
-        F.col("token").isNotNull())
-    at = F.floor(F.col("pos") / chunk)
-    near = (F.col("pos") % chunk < distance - 1) & (at > 0)
-    toks = toks.join(coded.select("token", "id"), "token").select(
-        *keys, "many", F.explode(F.when(near, F.array(at, at - 1)).otherwise(F.array(at))).alias("chunk"), "pos", "id",
-        at.alias("home"))
-    return toks.groupBy(*keys, "many", "chunk").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "id", (F.col("home") == F.col("chunk")).alias("own")))).alias("a"))
-
-
-def _pairs_of(array: str, distance: int, ordered: bool) -> Column:
-    """Every pair of a chunk as one number: the two ids, by place (``ordered``) or by size and different."""
-    code = lambda a, b: F.shiftleft(a, 32).bitwiseOR(b)
-
-    def after(x: Column, k: Column) -> Column:
-        near = F.filter(F.slice(array, k + 2, F.lit(distance - 1)), lambda y: (y["pos"] - x["pos"] < distance) & x["own"] & (
-            F.lit(True) if ordered else y["id"] != x["id"]))
-        return F.transform(near, lambda y: code(x["id"], y["id"]) if ordered else code(
-            F.least(x["id"], y["id"]), F.greatest(x["id"], y["id"])))
-
-    return F.flatten(F.transform(array, after))
-
-
 def _decoded(pairs: DataFrame, coded: DataFrame) -> DataFrame:
-    """``pair, count`` with the words ``x, y`` and their counts ``n_x, n_y``."""
-    pairs = pairs.select(F.shiftrightunsigned("pair", 32).alias("id_x"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("id_y"), "count")
-    first = coded.select(F.col("id").alias("id_x"), F.col("token").alias("x"), F.col("n").alias("n_x"))
-    second = coded.select(F.col("id").alias("id_y"), F.col("token").alias("y"), F.col("n").alias("n_y"))
-    return pairs.join(first, "id_x").join(second, "id_y").select("x", "y", "count", "n_x", "n_y")
+    """Pairs of word hashes with the words ``x, y`` and their counts ``n_x, n_y``."""
+    first = coded.select(F.col("id").alias("x"), F.struct("token", "n").alias("a"))
+    second = coded.select(F.col("id").alias("y"), F.struct("token", "n").alias("b"))
+    return pairs.join(first, "x").join(second, "y").select("a", "b", "count")
 
 
-def _numbered(marginals: DataFrame, threshold: int) -> DataFrame:
-    """Words of at least ``threshold``, numbered in their order; fewer than 2**31 of them."""
-    frequent = marginals.filter((F.col("token") != "") & (F.col("n") >= threshold))
-    return cut_lineage(number_rows(frequent, ["token"], "id"))
+def _coded(marginals: DataFrame) -> tuple[DataFrame, int]:
+    """The words with their hashes ``id``, and the seed under which these differ."""
+    words = marginals.filter(F.col("token") != "")
+    seed = near.distinct_seed(words)
+    return words.withColumn("id", near.word_hash(F.col("token"), seed)), seed
 
 
-def cooccurrence(basket: DataFrame, threshold: int, keys: Sequence[str] = LINE_KEYS, distance: int = DISTANCE,
-                 chunk: int = CHUNK_TOKENS) -> DataFrame:
+def cooccurrence(basket: DataFrame, threshold: int, distance: int = DISTANCE, chunk: int = near.STEP) -> DataFrame:
     """Unordered pairs ``x < y`` near each other in at least ``threshold`` lines: ``x, y, count, n_x, n_y, baskets``.
 
     A line counts once for a pair, however often its words meet within ``distance``.
-    A pair is never in more lines than its rarer word, so words below the threshold are
-    left out first. The others are numbered in word order, and pairs are counted on the
-    numbers, which keeps the large shuffle narrow.
+    Pairs are counted on word hashes inside the lines (``operators/near.py``), so no token
+    is shuffled, and only pairs that reach the threshold are joined to their words.
     """
     marginals = cut_lineage(basket_marginals(basket))
     total = marginals.filter("token = ''").select("n").scalar()
-    coded = _numbered(marginals, threshold)
-    chunks = _chunks(basket, coded, keys, distance, chunk).select(
-        *keys, "many", F.array_distinct(_pairs_of("a", distance, False)).alias("pairs"))
-    met = chunks.select(*keys, "many", F.explode_outer("pairs").alias("pair")).filter(F.col("pair").isNotNull())
-    # chunks of one line may hold the same pair
-    once = met.filter(~F.col("many")).select("pair").unionByName(met.filter("many").distinct().select("pair"))
-    pairs = once.groupBy("pair").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= threshold)
-    return _decoded(pairs, coded).select("*", total.alias("baskets"))
+    coded, seed = _coded(marginals)
+    ids = basket.select(F.transform("t", lambda w: near.word_hash(w, seed)).alias("ids"))
+    pairs = near.pair_counts(ids, coded.select("id", "n"), threshold, distance, ordered=False, step=chunk)
+    found = _decoded(pairs, coded.filter(F.col("n") >= threshold))
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    return found.select(low["token"].alias("x"), high["token"].alias("y"), "count", low["n"].alias("n_x"), high["n"].alias("n_y"),
+                        total.alias("baskets"))
 
 
 def pmi(count: Column, n_x: Column, n_y: Column, total: Column) -> Column:
@@ -217,6 +182,17 @@ def pmi_stripes(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int
     )
 
 
+def with_word_counts(counts: DataFrame, words: DataFrame) -> DataFrame:
+    """``w1, w2, count, n1, n2``: bigrams with the counts of both words, from ``words`` (token, count).
+
+    All tables are materialised, so that the joins can be split at a very common word.
+    """
+    counts, words = cut_lineage(counts), cut_lineage(words)
+    first = words.select(F.col("token").alias("w1"), F.col("count").alias("n1"))
+    second = words.select(F.col("token").alias("w2"), F.col("count").alias("n2"))
+    return counts.join(first, "w1").join(second, "w2").select("w1", "w2", "count", "n1", "n2")
+
+
 def with_pmi(pairs: DataFrame, x: str, y: str, marginals: DataFrame, total: Column) -> DataFrame:
     """PMI by two look-ups of the marginal counts ``token, n``."""
     first = marginals.select(F.col("token").alias(x), F.col("n").alias("_nx"))
@@ -226,10 +202,18 @@ def with_pmi(pairs: DataFrame, x: str, y: str, marginals: DataFrame, total: Colu
 
 
 def bigram_pmi(lines: DataFrame, threshold: int = BIGRAM_THRESHOLD) -> DataFrame:
-    """PMI of neighbouring tokens; probabilities are over the number of bigrams."""
-    pairs = bigram_counts(lines)
-    total = total_bigrams(lines).scalar()
-    marginals = cut_lineage(word_count(lines).withColumnRenamed("count", "n"))
+    """PMI of neighbouring tokens; probabilities are over the number of bigrams.
+
+    One pass over the lines: every token is counted as a bigram with an empty end where it
+    has no successor, so words and the number of bigrams are sums over the same counts.
+    """
+    toks = lines.select(T.letters(F.col("line")).alias("t"))
+    pair = F.transform("t", lambda w, i: F.struct(w.alias("w1"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("w2")))
+    counts = cut_lineage(
+        T.each(toks, [], pair, "b").groupBy("b.w1", "b.w2").agg(F.count(F.lit(1)).alias("count")))
+    marginals = cut_lineage(counts.groupBy(F.col("w1").alias("token")).agg(F.sum("count").alias("n")))
+    pairs = counts.filter("w2 <> ''")
+    total = pairs.agg(F.sum("count")).scalar()
     return with_pmi(pairs.filter(F.col("count") >= threshold), "w1", "w2", marginals, total)
 
 
@@ -238,24 +222,19 @@ def total_bigrams(lines: DataFrame) -> DataFrame:
     return lines.agg(F.sum(F.greatest(n - 1, F.lit(0))).alias("total"))
 
 
-def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE,
-                   chunk: int = CHUNK_TOKENS) -> DataFrame:
+def positional_pmi(lines: DataFrame, threshold: int = PAIR_THRESHOLD, distance: int = DISTANCE, chunk: int = near.STEP) -> DataFrame:
     """PMI over raw ordered token pairs (earlier, later) of a line within ``distance``, repeats included."""
-    toks = lines.select(*LINE_KEYS, T.letters(F.col("line")).alias("t"))
+    toks = lines.select(T.letters(F.col("line")).alias("t"))
     toks = toks.withColumn("t", F.when(F.size("t") > 1, F.col("t")))
     # the empty token stands for lines
     marginals = cut_lineage(
         T.each(toks, [], F.array_append("t", F.lit("")), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     total = marginals.filter("token = ''").select("n").scalar()
-    coded = _numbered(marginals, 1)
-    pairs = (
-        _chunks(toks, coded, LINE_KEYS, distance, chunk)
-        .select(F.explode_outer(_pairs_of("a", distance, True)).alias("pair")).filter(F.col("pair").isNotNull())
-        .groupBy("pair").agg(F.count(F.lit(1)).alias("count"))
-        .filter(F.col("count") >= threshold)
-    )
-    value = pmi(F.col("count"), F.col("n_x"), F.col("n_y"), total)
-    return _decoded(pairs, coded).select("x", "y", value.alias("pmi"), "count")
+    coded, seed = _coded(marginals)
+    ids = toks.select(F.transform("t", lambda w: near.word_hash(w, seed)).alias("ids"))
+    pairs = near.pair_counts(ids, coded.select("id", "n"), threshold, distance, ordered=True, step=chunk)
+    value = pmi(F.col("count"), F.col("a.n"), F.col("b.n"), total)
+    return _decoded(pairs, coded).select(F.col("a.token").alias("x"), F.col("b.token").alias("y"), value.alias("pmi"), "count")
 
 
 def positional_stripes(pairs: DataFrame, segments: int = STRIPE_SEGMENTS) -> DataFrame:

@@ -271,13 +271,7 @@ def txt_pmi_stripes(spark, sf):
 def jn_lookup_scalar(spark, sf):
     """Marginal counts looked up for both words of every frequent bigram."""
     ls = lines(spark, sf)
-    n = X.word_count(ls)
-    return (
-        X.bigram_counts(ls).filter("count >= 5")
-        .join(n.select(F.col("token").alias("w1"), F.col("count").alias("n1")), "w1")
-        .join(n.select(F.col("token").alias("w2"), F.col("count").alias("n2")), "w2")
-        .select("w1", "w2", "count", "n1", "n2")
-    )
+    return X.with_word_counts(X.bigram_counts(ls).filter("count >= 5"), X.word_count(ls))
 
 
 POSITIONAL = f"""

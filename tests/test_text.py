@@ -101,12 +101,8 @@ def test_pairs_cross_places_and_chunks(spark):
 
 
 def test_search(spark, lines, tmp_path):
-    tf = I.term_frequencies(I.line_groups(lines, 3))
-    path = str(tmp_path / "index")
-    I.write_index(I.build_index(tf), path)
-    index = I.read_index(spark, path)
+    index = I.write_index(I.term_frequencies(I.line_groups(lines, 3)), str(tmp_path / "index"))
     queries = {"a": ["fox", "dog", "dog"], "b": ["unknownterm", "fox"], "c": ["perfect"]}
-    p, q = I.postings(index, [t for ts in queries.values() for t in ts]), I.query_terms(spark, queries)
     docs = {}
     for i, s in enumerate(LINES):
         docs.setdefault(i // 3, Counter()).update(toks(s))
@@ -114,15 +110,61 @@ def test_search(spark, lines, tmp_path):
         want = sorted(
             (k, 0, g, sum(c[t] for t in set(ts))) for k, ts in queries.items()
             for g, c in docs.items() if need(c[t] for t in set(ts)))
-        assert rows(I.search(p, q, op)) == want
-    report = I.report(p, q, k=2)
+        assert rows(I.search(index, queries, op)) == want
+    report = I.report(index, queries, k=2)
     assert report.groupBy("query_id", "op").count().filter("count > 2").count() == 0
     assert not [r for r in report.collect() if r.query_id == "b" and r.op == "AND"]
 
 
-def test_index_segments_are_bounded(spark, monkeypatch):
+def test_index_segments_are_bounded(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(I, "DOCS_PER_SEGMENT", 10)
     tf = spark.range(95).selectExpr("id AS doc_id", "0 AS grp", "'hot' AS term", "1L AS tf")
-    segments = I.build_index(tf).collect()
+    segments = I.write_index(tf, str(tmp_path / "index")).lists().collect()
     assert len(segments) == 10 and {r.df for r in segments} == {95}
     assert sorted(p.doc_id for r in segments for p in r.postings) == list(range(95))
+
+
+@pytest.fixture
+def many_blocks(spark, tmp_path, monkeypatch):
+    """An index of 60 blocks with skewed and tied frequencies, and its rows."""
+    monkeypatch.setattr(I, "DOCS_PER_SEGMENT", 20)
+    tf = [(d, g, t, 1 + (d * 7 + g * 3 + len(t)) % 5 + (40 if d % 300 == 7 else 0))
+          for d in range(1200) for g in range(2) for t in ("hot", "warm", "cold") if t == "hot" or d % (3 if t == "warm" else 50) == 0]
+    return I.write_index(spark.createDataFrame(tf, "doc_id long, grp int, term string, tf long"), str(tmp_path / "index")), tf
+
+
+def brute_ranks(tf, terms, k, every):
+    docs = {}
+    for d, g, t, n in tf:
+        if t in terms:
+            docs.setdefault((d, g), {})[t] = n
+    hits = sorted((-sum(c.values()), *key) for key, c in docs.items() if not every or len(c) == len(set(terms)))
+    return [(r + 1, d, g, -s) for r, (s, d, g) in enumerate(hits[:k])], len(hits)
+
+
+QUERIES = {"one": ["hot"], "two": ["hot", "cold"], "three": ["hot", "warm", "cold"], "none": ["absent"], "part": ["absent", "warm"]}
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 5000])
+def test_top_k_by_blocks_equals_brute_force(many_blocks, k):
+    index, tf = many_blocks
+    got = I.top_k(index, QUERIES, k).collect()
+    for name, terms in QUERIES.items():
+        assert sorted(tuple(r)[1:] for r in got if r.query_id == name) == brute_ranks(tf, terms, k, False)[0]
+
+
+def test_report_equals_brute_force(many_blocks):
+    index, tf = many_blocks
+    got = I.report(index, QUERIES, 10).collect()
+    for name, terms in QUERIES.items():
+        for op in ("AND", "OR"):
+            ranks, total = brute_ranks(tf, terms, 10, op == "AND")
+            mine = sorted((r["rank"], r.doc_id, r.grp, r.score) for r in got if (r.query_id, r.op) == (name, op))
+            assert mine == ranks and {r.total_hits for r in got if (r.query_id, r.op) == (name, op)} == ({total} if total else set())
+
+
+def test_blocks_below_the_top_are_skipped(many_blocks):
+    """Four documents hold far more than the others: their blocks alone are read for the top four."""
+    index, _ = many_blocks
+    left = I.surviving_blocks(index, {"one": ["hot"], "three": ["hot", "warm", "cold"]}, 4)
+    assert {(r.query_id, r.doc_block) for r in left.collect()} == {(q, d // 20) for q in ("one", "three") for d in (7, 307, 607, 907)}
