@@ -55,14 +55,18 @@ def region_counts(df: DataFrame, ts: str, region: Column) -> DataFrame:
         "region", F.col("window_start").alias("hour"), "trip_count")
 
 
-def trending(windows: DataFrame, factor: float = TREND_FACTOR, block: int = S.BLOCK_ROWS) -> DataFrame:
-    """Windows whose count exceeds ``factor`` times that of the previous non-empty window."""
-    previous = lambda df, w: df.withColumn("previous_count", F.lag("trip_count", 1).over(w))
-    return (
-        S.ordered_window(windows, ["window_start"], previous, before=1, block=block)
-        .filter(F.col("trip_count") > factor * F.col("previous_count"))
-        .select("window_start", "trip_count", "previous_count")
-    )
+def trending(windows: DataFrame, factor: float = TREND_FACTOR, block: int = S.BLOCK_ROWS, every: bool = False) -> DataFrame:
+    """Windows whose count exceeds ``factor`` times that of the previous non-empty window.
+
+    With ``every``, all windows with ``previous_start`` and whether they ``alert``.
+    """
+    previous = lambda df, w: df.withColumns({
+        "previous_count": F.lag("trip_count", 1).over(w), "previous_start": F.lag("window_start", 1).over(w)})
+    found = S.ordered_window(windows, ["window_start"], previous, before=1, block=block)
+    alert = F.coalesce(F.col("trip_count") > factor * F.col("previous_count"), F.lit(False))
+    if every:
+        return found.select("window_start", "trip_count", "previous_count", "previous_start", alert.alias("alert"))
+    return found.filter(alert).select("window_start", "trip_count", "previous_count")
 
 
 def naive_times(df: DataFrame, names: Mapping[str, str] | Sequence[str]) -> DataFrame:
