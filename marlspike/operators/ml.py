@@ -10,14 +10,16 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from marlspike.functions.hashing import HASH_DIM, slot
 from marlspike.functions.maths import sigmoid
-from marlspike.session import cut_lineage
+from marlspike.operators.series import number_rows
+from marlspike.session import cut_lineage, scratch_path
 
 # Columns that are not features, the baseline's features, and the
 # name parts that put a column into an ablation group.
@@ -62,14 +64,12 @@ def cast_prices(df: DataFrame, names: Sequence[str] = ("open", "high", "low", "c
 def sparse_vectors(long: DataFrame, id_col: str, dim: int = HASH_DIM) -> DataFrame:
     """``id, features``: at most ``dim`` entries per row, so the list has a fixed bound.
 
-    The only Python step is wrapping two arrays into a vector.
+    The vectors are made by Spark's JSON reader, which knows their type: no row passes through Python.
     """
-    to_vector = F.udf(lambda i, v: SparseVector(dim, i, v), VectorUDT())
     entries = F.sort_array(F.collect_list(F.struct("idx", F.col("n").cast("double").alias("n"))))
-    return (
-        long.groupBy(id_col).agg(entries.alias("_e"))
-        .select(id_col, to_vector(F.col("_e.idx"), F.col("_e.n")).alias("features"))
-    )
+    fields = F.struct(F.lit(0).alias("type"), F.lit(dim).alias("size"), F.col("_e.idx").alias("indices"), F.col("_e.n").alias("values"))
+    vector = F.from_json(F.to_json(F.struct(fields.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"]
+    return long.groupBy(id_col).agg(entries.alias("_e")).select(id_col, vector.alias("features"))
 
 
 def scaling_stages(columns: Sequence[str], handle_invalid: str = "skip") -> list:
@@ -185,54 +185,66 @@ def text_model(train: DataFrame, label: str = "label", **overrides):
     return LogisticRegression(featuresCol="features", labelCol=label, **(TEXT_REGRESSION | overrides)).fit(train)
 
 
-# --- gradient rounds on long-form features ---------------------------------
+# --- mini-batch gradient steps on long-form features ------------------------
 
 BIAS = -1
+#: Documents of one gradient step. Their errors are broadcast, so this bounds the broadcast.
+BATCH_DOCS = 256
+
+
+def dealt(labels: DataFrame, id_col: str, batch_docs: int = BATCH_DOCS) -> DataFrame:
+    """``id, y, batch``: documents in the order of a hash of their id, cut into batches of ``batch_docs``."""
+    docs = labels.select(id_col, F.col("label").cast("double").alias("y"))
+    order = [F.md5(F.col(id_col).cast("string")), F.col(id_col), F.col("y")]
+    return number_rows(docs, order).select(id_col, "y", F.floor(F.col("rn") / batch_docs).alias("batch"))
 
 
 def sgd_weights(
-    long: DataFrame, labels: DataFrame, id_col: str, epochs: int = 5, batches: int = 1,
+    long: DataFrame, labels: DataFrame, id_col: str, epochs: int = 5, batch_docs: int = BATCH_DOCS,
     rate: float = 0.1, decay: float = 0.9, l2: float = 1e-5,
 ) -> DataFrame:
     """``idx, w`` of a logistic model over ``(id, idx, n)`` rows; ``idx`` -1 is the bias.
 
-    Documents are partitioned by id once, so margins and errors need no shuffle;
-    a round shuffles only partial gradients, at most one row per feature and
-    task. The weight table has one row per hash bucket, which bounds the
-    broadcast. Batches are dealt by a hash of the id.
+    One step per batch of ``batch_docs`` documents, every batch once an epoch. Rows are
+    stored a folder per batch, so a step reads its own batch only. The weight table is
+    partitioned by ``idx`` once and stays so: a step brings the batch's rows to the weights,
+    not the weights to the rows, and sends back one margin per document and partition. The
+    documents' errors, ``batch_docs`` rows, are the one thing that is broadcast.
     """
-    batch = slot(F.col(id_col).cast("string"), F.lit(batches))
-    docs = labels.select(id_col, F.col("label").cast("double").alias("y"), batch.alias("_b"))
+    spark = long.sparkSession
+    docs = cut_lineage(dealt(labels, id_col, batch_docs))
     ones = docs.select(id_col, F.lit(BIAS).alias("idx"), F.lit(1).cast("bigint").alias("n"))
-    n_parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (
-        long.select(id_col, "idx", "n").unionByName(ones).join(docs, id_col)
-        .repartition(n_parts, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    weights = cut_lineage(rows.select("idx").distinct().withColumn("w", F.lit(0.0)))
+    path = scratch_path(spark, "batches")
+    long.select(id_col, "idx", "n").unionByName(ones).join(docs, id_col).repartition("batch").write.partitionBy("batch").parquet(path)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.read.parquet(path)
+    weights = cut_lineage(rows.select("idx").distinct().repartition(parts, "idx").select("idx", F.lit(0.0).alias("w")))
+    n = docs.count()
     for epoch in range(epochs):
-        for b in range(batches):
-            part = rows if batches == 1 else rows.filter(F.col("_b") == b)
-            weights = cut_lineage(_gradient_step(part, weights, id_col, rate * decay**epoch, l2))
-    rows.unpersist()
+        for b in range(-(-n // batch_docs)):
+            part = rows.filter(F.col("batch") == b).drop("batch").repartition(parts, "idx")
+            size = min(batch_docs, n - b * batch_docs)
+            weights = cut_lineage(_gradient_step(part, weights, id_col, size, rate * decay**epoch, l2))
     return weights
 
 
 def margins(long: DataFrame, weights: DataFrame, id_col: str) -> DataFrame:
-    return long.join(F.broadcast(weights), "idx").groupBy(id_col).agg(F.sum(F.col("n") * F.col("w")).alias("margin"))
+    return long.join(weights, "idx").groupBy(id_col).agg(F.sum(F.col("n") * F.col("w")).alias("margin"))
+
 
+def _gradient_step(rows: DataFrame, weights: DataFrame, id_col: str, size: int, rate: float, l2: float) -> DataFrame:
+    """New weights after one batch of ``size`` documents; ``rows`` and ``weights`` have the same partitions by ``idx``.
 
-def _gradient_step(rows: DataFrame, weights: DataFrame, id_col: str, rate: float, l2: float) -> DataFrame:
+    Weights of features that the batch does not have stay as they are.
+    """
     errors = (
-        rows.join(F.broadcast(weights), "idx")
-        .groupBy(id_col).agg(F.sum(F.col("n") * F.col("w")).alias("margin"), F.max("y").alias("y"))
+        rows.join(weights.hint("merge"), "idx")
+        .groupBy(id_col, "y").agg(F.sum(F.col("n") * F.col("w")).alias("margin"))
         .select(id_col, (sigmoid(F.col("margin")) - F.col("y")).alias("error"))
     )
-    size = errors.agg(F.count(F.lit(1))).scalar()
-    gradient = rows.select(id_col, "idx", "n").join(errors, id_col).groupBy("idx").agg(
-        F.sum(F.col("error") * F.col("n")).alias("g"))
+    gradient = rows.join(F.broadcast(errors), id_col).groupBy("idx").agg(F.sum(F.col("error") * F.col("n")).alias("g"))
     updated = F.col("w") - rate * (F.col("g") / size + l2 * F.col("w"))
-    return weights.join(gradient, "idx", "left").select("idx", F.coalesce(updated, F.col("w")).alias("w"))
+    return weights.join(gradient.hint("merge"), "idx", "left").select("idx", F.coalesce(updated, F.col("w")).alias("w"))
 
 
 def sgd_scores(long: DataFrame, weights: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

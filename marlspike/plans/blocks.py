@@ -15,7 +15,7 @@ def _le(value, width):
     return reverse_bytes(F.lower(F.lpad(F.hex(value.cast("bigint")), 2 * width, "0")), width)
 
 
-def _records(spark, sf):
+def records(spark, sf):
     """Hexadecimal payloads: 80-byte header, transaction count, body."""
     k = F.get_json_object("props", "$.k").cast("bigint") * 1000
     count = (
@@ -35,7 +35,7 @@ REV = "array_to_string(list_reverse(regexp_extract_all({}, '..')), '')"
 LE4 = REV.format("printf('%08x', {})")
 
 
-@query("blk_header", f"""
+BLOCKS = f"""
     WITH v AS (SELECT event_id, event_type, user_id, epoch_us(ts) // 1000000 AS t, (props::JSON->>'$.k')::BIGINT * 1000 AS k,
         sha256('p' || event_id) AS prev, sha256(props) AS merkle FROM events),
     h AS (SELECT *, '02000000' || prev || merkle || {LE4.format('t')} || {LE4.format('user_id')} || {LE4.format('event_id')} AS header FROM v)
@@ -43,7 +43,9 @@ LE4 = REV.format("printf('%08x', {})")
       {REV.format('prev')} AS prev_block, {REV.format('merkle')} AS merkle_root, t AS timestamp, user_id AS bits, event_id AS nonce,
       k AS tx_count, (80 + CASE WHEN k < 253 THEN 1 WHEN k < 65536 THEN 3 ELSE 5 END + strlen(event_type))::BIGINT AS size
     FROM h
-""")
+"""
+
+
+@query("blk_header", BLOCKS)
 def blk_header(spark, sf):
-    records = _records(spark, sf)
-    return header_fields(records, "payload", F.length("payload") / 2)
+    return header_fields(records(spark, sf), "payload", F.length("payload") / 2)

@@ -46,11 +46,14 @@ def ml_random_split(spark, sf):
 Z = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@query("ml_assemble_scale", f"""
+Z_SQL = f"""
     SELECT l_orderkey, l_linenumber, l_partkey, {", ".join(
         f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) + 0.0::DOUBLE AS z_{c}" for c in Z)}
     FROM lineitem
-""")
+"""
+
+
+@query("ml_assemble_scale", Z_SQL)
 def ml_assemble_scale(spark, sf):
     keep = ["l_orderkey", "l_linenumber", "l_partkey"]
     z = M.standardise(table(spark, sf, "lineitem").select(*keep, *Z), Z, keep)
@@ -143,39 +146,42 @@ def ml_logreg(spark, sf):
     return K.threshold_counts(scored, "label", "score").withColumn("auc", auc)
 
 
-def _sgd_sql(epochs):
-    parts = ["w0 AS MATERIALIZED (SELECT DISTINCT idx, 0.0::DOUBLE AS w FROM f)"]
-    for i in range(epochs):
-        parts.append(f"""
-    e{i} AS MATERIALIZED (SELECT doc_id, 1 / (1 + exp(-greatest(least(sum(n * w), 30), -30))) - max(y) AS e
-      FROM f JOIN w{i} USING (idx) GROUP BY doc_id),
-    g{i} AS MATERIALIZED (SELECT idx, sum(e * n) / (SELECT count(*) FROM e{i}) AS g FROM f JOIN e{i} USING (doc_id) GROUP BY idx),
-    w{i + 1} AS MATERIALIZED (SELECT idx, w - {0.1 * 0.9 ** i!r}::DOUBLE * (g + 1e-5::DOUBLE * w) AS w FROM w{i} JOIN g{i} USING (idx))""")
-    return ",".join(parts)
-
+EPOCHS = 5
 
 SGD = f"""
-    WITH l AS (SELECT doc_id, toxic::DOUBLE AS y FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)),
+    WITH RECURSIVE l AS (SELECT doc_id, toxic::DOUBLE AS y FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)),
     t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents JOIN l USING (doc_id)),
     gr AS (SELECT doc_id, unnest(t) AS gram FROM t UNION ALL
       SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || '_' || t[i+1])) FROM t WHERE len(t) > 1),
     every AS MATERIALIZED (SELECT doc_id, idx, n, y, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 5 = 0 AS held_out FROM (
       SELECT doc_id, (('0x' || substr(md5(gram), 28, 5))::BIGINT % 262144)::INTEGER AS idx, count(*) AS n FROM gr GROUP BY ALL
       UNION ALL SELECT doc_id, -1, 1 FROM l) JOIN l USING (doc_id)),
-    f AS MATERIALIZED (SELECT * FROM every WHERE NOT held_out),
-    {_sgd_sql(5)},
+    dealt AS (SELECT doc_id, (row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id, y) - 1) // {M.BATCH_DOCS} AS batch
+              FROM l WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 5 <> 0),
+    f AS MATERIALIZED (SELECT every.*, batch, count(*) FILTER (idx = -1) OVER (PARTITION BY batch) AS size FROM every JOIN dealt USING (doc_id)),
+    nb AS MATERIALIZED (SELECT max(batch) + 1 AS nb FROM dealt),
+    w AS (
+      SELECT 0::BIGINT AS step, idx, 0.0::DOUBLE AS w FROM (SELECT DISTINCT idx FROM f)
+      UNION ALL
+      SELECT w.step + 1, w.idx, coalesce(w.w - 0.1 * 0.9 ** (w.step // nb) * (g / size + 1e-5 * w.w), w.w)
+      FROM w CROSS JOIN nb LEFT JOIN (
+        SELECT idx, sum(e * n) AS g, any_value(size) AS size FROM f JOIN (
+          SELECT doc_id, 1 / (1 + exp(-greatest(least(sum(n * w), 30), -30))) - max(y) AS e
+          FROM f JOIN w USING (idx) CROSS JOIN nb WHERE batch = step % nb GROUP BY doc_id) USING (doc_id) GROUP BY idx) g USING (idx)
+      WHERE step < {EPOCHS} * nb),
+    last AS MATERIALIZED (SELECT idx, w FROM w CROSS JOIN nb WHERE step = {EPOCHS} * nb),
     p AS (SELECT doc_id, max(y) AS y, 1 / (1 + exp(-greatest(least(sum(n * coalesce(w, 0)), 30), -30))) AS probability
-          FROM every LEFT JOIN w5 USING (idx) WHERE held_out GROUP BY doc_id)
+          FROM every LEFT JOIN last USING (idx) WHERE held_out GROUP BY doc_id)
 """
 
 
 def _sgd_held_out(spark, sf):
-    """Five gradient epochs over the labelled documents of the training part; probabilities of the held-out fifth."""
+    """Five epochs of gradient steps over batches of the training part; probabilities of the held-out fifth."""
     grams, labels = _labelled_grams(spark, sf)
     grams = cut_lineage(grams)
     known = labels.join(table(spark, sf, "documents").select("doc_id"), "doc_id", "left_semi")
     held_out = slot(F.col("doc_id").cast("string"), F.lit(5)) == 0
-    weights = M.sgd_weights(grams, known.filter(~held_out), "doc_id", epochs=5)
+    weights = M.sgd_weights(grams, known.filter(~held_out), "doc_id", epochs=EPOCHS)
     scores = M.sgd_scores(grams, weights, known.filter(held_out), "doc_id")
     return known.filter(held_out).join(scores, "doc_id")
 
@@ -186,19 +192,21 @@ def ml_sgd_logreg(spark, sf):
 
 
 @query("ml_sgd_metrics", f"""
-    {SGD}, s AS (SELECT y, round(probability, 9) AS probability FROM p)
-    SELECT count(*) AS n, sum(y)::BIGINT AS positives, count(*) FILTER (probability >= 0.5 AND y = 1) AS true_positives,
-      count(*) FILTER (probability >= 0.5 AND y = 0) AS false_positives, round(avg(probability), 6) AS mean_probability FROM s
+    {SGD}, s AS (SELECT y AS label, round(probability, 9) AS score FROM p), {AUC}
+    SELECT count(*) AS n, sum(label)::BIGINT AS positives, count(*) FILTER (score >= 0.5 AND label = 1) AS true_positives,
+      count(*) FILTER (score >= 0.5 AND label = 0) AS false_positives, round(avg(score), 6) AS mean_probability,
+      (SELECT round((rs - p::DOUBLE * (p + 1) / 2) / (p::DOUBLE * n), 9) FROM a) AS auc FROM s
 """)
 def ml_sgd_metrics(spark, sf):
-    """Counts of the held-out part at threshold 0.5."""
-    scored = _sgd_held_out(spark, sf).withColumn("probability", F.round("probability", 9))
+    """Counts of the held-out part at threshold 0.5, and the area under its ROC curve."""
+    scored = cut_lineage(_sgd_held_out(spark, sf).withColumn("probability", F.round("probability", 9)))
     high = F.col("probability") >= 0.5
+    auc = K.auc(scored, "label", "probability").select(F.round("auc", 9)).scalar()
     return scored.agg(
         F.count("*").alias("n"), F.sum("label").cast("long").alias("positives"),
         F.count(F.when(high & (F.col("label") == 1), 1)).alias("true_positives"),
         F.count(F.when(high & (F.col("label") == 0), 1)).alias("false_positives"),
-        F.round(F.avg("probability"), 6).alias("mean_probability"))
+        F.round(F.avg("probability"), 6).alias("mean_probability")).withColumn("auc", auc)
 
 
 # --- market models ---------------------------------------------------------
@@ -212,7 +220,8 @@ def _market(spark, sf):
 def _fitted(spark, sf, kind, run_id, columns=None, **settings):
     train, test, every = _market(spark, sf)
     model = M.fit(train, kind, columns or every, LABEL, **settings)
-    return M.metric_rows(spark, run_id, "test", M.evaluate(model.transform(test), LABEL))
+    found = {stage: M.evaluate(model.transform(part), LABEL) for stage, part in (("train", train), ("test", test))}
+    return M.metric_rows(spark, run_id, "train", found["train"]).unionByName(M.metric_rows(spark, run_id, "test", found["test"]))
 
 
 @query("ml_logreg_baseline")
@@ -243,9 +252,14 @@ def ml_importance(spark, sf):
 
 @query("ml_tune")
 def ml_tune(spark, sf):
-    """Validation AUC of every point of the forest grid."""
-    train, _, every = _market(spark, sf)
-    return M.tune_forest(train, every, LABEL)[1]
+    """Validation AUC of every point of the forest grid, and the test metrics of the best one's model."""
+    train, test, every = _market(spark, sf)
+    model, scores = M.tune_forest(train, every, LABEL)
+    found = M.evaluate(model.transform(test), LABEL)
+    best = model.stages[-1]
+    chosen = (F.col("numTrees") == best.getNumTrees) & (F.col("maxDepth") == best.getMaxDepth()) & (
+        F.col("minInstancesPerNode") == best.getMinInstancesPerNode())
+    return scores.withColumns({f"test_{m}": F.when(chosen, F.lit(found[m])) for m in ("auc", "accuracy", "f1")})
 
 
 @query("ml_ablation")

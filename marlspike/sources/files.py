@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marlspike.operators.series import running_sum
+from marlspike.session import scratch_path
 
 # The reduced relational schemas and the trip schema.
 TBL_SCHEMAS = {
@@ -65,8 +66,61 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.parquet(path)
 
 
+#: Kinds of text, from narrow to wide, by pattern; what fits none is a string.
+KINDS = (
+    ("int", r"[+-]?\d+"),
+    ("double", r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|[+-]?(NaN|Infinity|Inf)"),
+    ("date", r"\d{4}-\d{2}-\d{2}"),
+    ("timestamp", r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?"),
+    ("boolean", r"(?i)true|false"),
+)
+_TYPES = ("int", "bigint", "double", "date", "timestamp", "boolean", "string")
+
+
+def _kind(value: Column) -> Column:
+    """The narrowest type of one text value; null for an empty one."""
+    out = F.when(value.isNull() | (value == ""), F.lit(None).cast("string"))
+    for name, pattern in KINDS:
+        fits = value.rlike(f"^({pattern})$")
+        if name == "int":
+            whole = value.try_cast("decimal(38,0)")
+            out = out.when(fits & whole.between(-(1 << 31), (1 << 31) - 1), "int").when(fits & whole.between(-(1 << 63), (1 << 63) - 1), "bigint")
+        elif name in ("date", "timestamp"):
+            out = out.when(fits & value.try_cast(name).isNotNull(), name)
+        else:
+            out = out.when(fits, name)
+    return out.otherwise("string")
+
+
+def _merged(kinds: set[str]) -> str:
+    """The least type that holds all kinds."""
+    if not kinds:
+        return "string"
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    for wide, inside in (("bigint", {"int"}), ("double", {"int", "bigint"}), ("timestamp", {"date"})):
+        if kinds <= inside | {wide}:
+            return wide
+    return "string"
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    """CSV with a header and types found in the data, which is read once.
+
+    The scan writes the text values to the shared folder as Parquet, and merges the types
+    of every column on the way; the result is that table with the text cast. A column
+    without a value is a string.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    seen = Observation("kinds")
+    bits = F.create_map(*[x for i, k in enumerate(_TYPES) for x in (F.lit(k), F.lit(1 << i))])
+    kinds = [F.bit_or(bits[_kind(F.col(f"`{c}`"))]).alias(f"k{i}") for i, c in enumerate(raw.columns)]
+    target = scratch_path(spark, "csv")
+    raw.observe(seen, *kinds).write.parquet(target)
+    masks = [seen.get[f"k{i}"] or 0 for i in range(len(raw.columns))]
+    found = [_merged({k for i, k in enumerate(_TYPES) if m >> i & 1}) for m in masks]
+    stored = spark.read.schema(raw.schema).parquet(target)
+    return stored.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in zip(raw.columns, found)])
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:

@@ -71,10 +71,10 @@ def messages(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, label double")
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_gradient_rounds(messages, batches):
+@pytest.mark.parametrize("batch_docs", [1000, 30])
+def test_gradient_rounds(messages, batch_docs):
     grams = hashed_ngrams(messages, "doc_id", "text")
-    weights = M.sgd_weights(grams, messages.select("doc_id", "label"), "doc_id", epochs=3, batches=batches)
+    weights = M.sgd_weights(grams, messages.select("doc_id", "label"), "doc_id", epochs=3, batch_docs=batch_docs)
     scores = M.sgd_scores(grams, weights, messages, "doc_id").join(messages, "doc_id")
     assert scores.count() == 82
     assert K.auc(scores, "label", "probability").first().auc == 1.0

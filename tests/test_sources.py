@@ -1,3 +1,4 @@
+import random
 import struct
 
 import pytest
@@ -42,6 +43,21 @@ def test_csv_inferred(spark, tmp_path):
     assert df.dtypes == [("a", "int"), ("b", "double")] and rows(df) == [(1, 2.5), (2, 3.5)]
 
 
+def test_csv_types_equal_two_pass_inference(spark, tmp_path):
+    """Same columns, types and rows as Spark's own inference, which reads the files twice."""
+    values = {
+        "i": ["1", "-7", "+3", ""], "l": ["1", "3000000000", "", "5"], "d": ["1", "2.5", "1e3", "-.5"], "day": ["2021-01-01", "", "2020-02-29", "1999-12-31"],
+        "t": ["2021-01-01 10:00:00", "2021-01-01", "2021-01-01T10:00:00.5", ""], "b": ["true", "FALSE", "", "false"], "s": ["1", "x", "true", ""],
+        "none": ["", "", "", ""], "mixed": ["true", "1", "", ""], "bad day": ["2021-13-45", "2021-01-01", "", ""]}
+    text = ",".join(values) + "\n" + "".join(",".join(v[k] for v in values.values()) + "\n" for k in range(4))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.csv").write_text(text)
+    got = files.read_csv_inferred(spark, str(tmp_path / "in"))
+    want = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "in"))
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    assert "FileScan csv" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_epochs(spark):
     raw = ["1609459200", " 1609459200000 ", "2021-01-01 00:00:00", "2021-01-01 00:00:00.000000", "junk", None]
     df = spark.createDataFrame([(r,) for r in raw], "r string")
@@ -88,6 +104,46 @@ def test_blocks(spark, tmp_path):
     assert [r.tx_count for r in got] == [1, *[n for _, n in wide], 2]
 
 
+def spans(content):
+    """(offset, length) of each complete record by a walk over the whole file."""
+    out, at = [], content.find(blocks.MAGIC)
+    while at >= 0:
+        start = at + 8
+        length = int.from_bytes(content[at + 4:start], "little")
+        if start > len(content) or start + length > len(content):
+            at = content.find(blocks.MAGIC, at + 1)
+            continue
+        out.append((start, length, content[start:start + min(length, blocks.KEEP)]))
+        at = content.find(blocks.MAGIC, start + length)
+    return out
+
+
+@pytest.mark.parametrize("cut", [300, 1 << 20])
+def test_byte_ranges_find_the_same_records(spark, tmp_path, cut):
+    """Markers inside payloads and heads, at their ends, in junk and in frames that claim too much; ranges of a few hundred bytes."""
+    rnd = random.Random(7)
+    want = {}
+    for f in range(4):
+        data = bytes(rnd.randrange(256) for _ in range(rnd.choice([0, 0, 50])))
+        for _ in range(60):
+            body = bytes(rnd.randrange(256) for _ in range(rnd.choice([0, 3, 90, 200, 700])))
+            for _ in range(rnd.choice([0, 0, 1, 2])):
+                k = rnd.randrange(len(body) + 1)
+                body = body[:k] + rnd.choice([blocks.MAGIC, blocks.MAGIC + struct.pack("<I", rnd.choice([2, 90, 5000])), blocks.MAGIC[:2]]) + body[k:]
+            claim = len(body) if rnd.random() < 0.9 else rnd.choice([0, 1 << 31, len(body) + 40])
+            data += blocks.MAGIC + struct.pack("<I", claim) + body + rnd.choice([b"", b"", b"\0\n\r", blocks.MAGIC[2:]])
+        data += rnd.choice([b"", blocks.MAGIC, blocks.MAGIC + b"\1"])
+        (tmp_path / f"blk{f}.dat").write_bytes(data)
+        want |= {(f"blk{f}.dat", o): (n, head) for o, n, head in spans(data)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+    try:
+        found = blocks.pieces(spark, str(tmp_path))
+        got = {(r.path.rsplit("/", 1)[1], r.offset): (r.payload_bytes, bytes(r["head"])) for r in blocks.frames(found).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want
+
+
 def test_md5_bucket(spark):
     import hashlib
 
