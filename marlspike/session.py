@@ -11,9 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def workers_find_package() -> None:
+    """Let the Python workers of a session that starts after this import the package from any working folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def build_session(app: str = "marlspike", cores: int | None = None) -> SparkSession:
     """Local session for tests and benchmarks; clusters bring their own session."""
     n = cores or int(os.environ.get("BENCH_CPUS", "8"))
+    workers_find_package()
     return (
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
