@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlspike.llm import (
-    bpe, burst_trie, langid, license_scan, ngram_join, packing, preference, quality_rules, repair, sharding, suffix_dedup, vector_links, warc)
+    bpe, burst_trie, langid, license_scan, ngram_join, oracle_sql, packing, preference, quality_rules, repair, sharding, suffix_dedup, vector_links, warc)
 from marlspike.llm.scratch import stored
 from marlspike.llm.streamed import joined_sha256
 from marlspike.session import scratch_path
@@ -117,12 +117,14 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
+@oracle(oracle_sql.TRIE)
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rebuilt = burst_trie.rebuilt(table(spark, sf_dir, "conversations"))
     return burst_trie.nodes(rebuilt)
 
 
 @query
+@oracle(oracle_sql.SHARDS)
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
@@ -133,6 +135,7 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
+@oracle(oracle_sql.REPAIR)
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     rows = repair.numbered(repair.damaged(given))
