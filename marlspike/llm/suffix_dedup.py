@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marlspike.llm import bytetext as B
-from marlspike.llm.induced import sorted_suffixes
+from marlspike.llm.induced import DEEPEST, sorted_suffixes
 from marlspike.llm.scratch import stored, thinned
 
 LENGTH, K = 200, 32
@@ -197,7 +197,12 @@ def _cut(docs: DataFrame, contents: DataFrame, length: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, k: int = K, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``uid, spans``: for texts of ``docs`` (uid, text) with repeated windows, their (start, n) in bytes."""
+    """``uid, spans``: for texts of ``docs`` (uid, text) with repeated windows, their (start, n) in bytes.
+
+    ``length`` may be up to ``DEEPEST``, the longest common prefix that is counted.
+    """
+    if length > DEEPEST:
+        raise ValueError(f"length {length}: common prefixes are counted up to {DEEPEST}")
     pieces = docs.select("uid", F.lit(0).alias("at"), F.col("text").alias("bytes"))
     steps = [k, *(x for x in STEPS if k < x < length), length]
     spans = []

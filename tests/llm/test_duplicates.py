@@ -169,6 +169,11 @@ def test_suffix_dedup_equals_brute_force(spark, length, k, shard):
     assert sorted((str(r["row"]["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got.collect()) == brute_repeats(rows, length)
 
 
+def test_too_long_windows_are_refused(spark):
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(documents(spark, awkward()), length=induced.DEEPEST + 1)
+
+
 def test_remove_repeats_keeps_rows_and_columns(spark):
     docs = documents(spark, awkward(), clashing=True)
     out = suffix_dedup.remove_repeats(docs)
