@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STEP = 1 << 17
-SLOTS, BUCKETS = 1 << 22, 1 << 24
+STEP = 1 << 18
+SLOTS, BUCKETS = 1 << 22, 1 << 25
 #: Parts that a task's bucket counts are cut into, and groups that are added up at a time.
 SLICES, FAN_IN = 64, 64
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
