@@ -189,7 +189,7 @@ def text_model(train: DataFrame, label: str = "label", **overrides):
 
 BIAS = -1
 #: Documents of one gradient step. Their errors are broadcast, so this bounds the broadcast.
-BATCH_DOCS = 256
+BATCH_DOCS = 1024
 
 
 def dealt(labels: DataFrame, id_col: str, batch_docs: int = BATCH_DOCS) -> DataFrame:
