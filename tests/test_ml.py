@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,38 @@ def test_gradient_rounds(messages, batch_docs):
     assert K.auc(scores, "label", "probability").first().auc == 1.0
 
 
+def test_a_gradient_step_is_one_job(messages):
+    """Steps grow with the table, so each must stay cheap."""
+    grams = hashed_ngrams(messages, "doc_id", "text").persist()
+    sc = messages.sparkSession.sparkContext
+    sc.setJobGroup("sgd-steps", "")
+    M.sgd_weights(grams, messages.select("doc_id", "label"), "doc_id", epochs=20, batch_docs=8)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 20 * 11 <= len(sc.statusTracker().getJobIdsForGroup("sgd-steps")) < 20 * 11 + 60
+
+
+def test_gradient_steps_on_repeated_and_null_labels(spark):
+    """Rows of a document that has several labels in a batch add up; null labels only count for the batch's size."""
+    long = [(1, 5, 2), (1, 9, 1), (2, 5, 1), (3, 7, 4), (4, 9, 3)]
+    labels = [(1, 1.0), (1, 1.0), (1, 0.0), (2, 0.0), (3, None), (None, 1.0), (5, 1.0)]
+    w = {}
+    rows = [(d, y, i, float(n)) for d, y in labels if d for e, i, n in long if e == d]
+    rows += [(d, y, -1, 1.0) for d, y in labels if d for e, _ in labels if e == d]
+    for epoch in range(3):
+        margin, g = {}, {}
+        for d, y, i, n in rows:
+            margin[d, y] = margin.get((d, y), 0) + n * w.setdefault(i, 0.0)
+        for d, y, i, n in rows:
+            for (e, label), m in margin.items():
+                if e == d and label is not None:
+                    g[i] = g.get(i, 0) + n * (1 / (1 + math.exp(-m)) - label)
+        w |= {i: w[i] - 0.1 * 0.9**epoch * (x / len(labels) + 1e-5 * w[i]) for i, x in g.items()}
+    got = M.sgd_weights(spark.createDataFrame(long, "doc_id long, idx int, n long"),
+                        spark.createDataFrame(labels, "doc_id long, label double"), "doc_id", epochs=3)
+    assert dict(got.dtypes) == {"idx": "int", "w": "double"}
+    assert {r.idx: r.w for r in got.collect()} == pytest.approx(w)
+
+
 def test_vectors(messages):
     grams = hashed_ngrams(messages, "doc_id", "text")
     first = M.sparse_vectors(grams, "doc_id").filter("doc_id = 0").first().features
