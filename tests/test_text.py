@@ -2,11 +2,13 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
 from marlspike.operators import index as I
+from marlspike.operators import near
 from marlspike.operators import text as X
 from marlspike.session import cut_lineage
 from tests.conftest import rows
@@ -100,6 +102,29 @@ def test_pairs_cross_places_and_chunks(spark):
         assert raw == ordered
 
 
+@pytest.mark.parametrize("settings", [{}, {"MAX_WORDS": 3}, {"KEPT": 5, "SLICE_MEETINGS": 50}, {"MAX_WORDS": 7, "KEPT": 5}])
+def test_pair_blocks_of_any_size(lines, monkeypatch, settings):
+    """Numbered and other words, and blocks that leave a task early, give the same counts."""
+    for name, value in settings.items():
+        monkeypatch.setattr(near, name, value)
+    units = [toks(s) for s in LINES]
+    for threshold in (1, 5):
+        want = {p: k for p, (_, k) in brute_pmi(units, threshold, 40).items()}
+        assert {(r.x, r.y): r["count"] for r in X.cooccurrence(X.baskets(lines), threshold).collect()} == want
+        ordered = Counter((u[i], u[j]) for u in units for i in range(len(u)) for j in range(i + 1, min(len(u), i + 40)))
+        assert {(r.x, r.y): r["count"] for r in X.positional_pmi(lines, threshold).collect()} == {p: k for p, k in ordered.items() if k >= threshold}
+
+
+def test_packed_pairs_take_a_few_bytes():
+    """Pairs leave a task in blocks of their sorted keys; a row a pair took 24 bytes and more."""
+    r = np.random.default_rng(3)
+    rare, hot = r.integers(0, 5000, 400_000), (5000 * r.random(400_000) ** 3).astype(np.int64)
+    keys, n = np.unique(rare << 14 | hot << 1, return_counts=True)
+    data = near._pack((keys, n))
+    assert len(data) < 3 * len(keys)
+    assert all((a == b).all() for a, b in zip(near._unpack(data, len(keys), 2), (keys, n)))
+
+
 def test_search(spark, lines, tmp_path):
     index = I.write_index(I.term_frequencies(I.line_groups(lines, 3)), str(tmp_path / "index"))
     queries = {"a": ["fox", "dog", "dog"], "b": ["unknownterm", "fox"], "c": ["perfect"]}
