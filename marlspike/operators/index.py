@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlspike.functions import tokens as T
+from marlspike.operators.spread import gathered
 from marlspike.session import cut_lineage
 
 # Fixed value: consecutive lines that make up one document.
@@ -27,6 +28,8 @@ LINES_PER_DOC = 10
 
 DOCS_PER_SEGMENT = 4096
 GROUPS_PER_SEGMENT = 64
+#: Documents whose postings are listed in one task; divides DOCS_PER_SEGMENT.
+DOCS_PER_STRETCH = 512
 #: Buckets that terms are hashed to; a query reads those of its terms.
 BUCKETS = 16
 BLOCK = ["doc_block", "grp_block"]
@@ -38,11 +41,12 @@ def line_groups(lines: DataFrame, lines_per_doc: int = LINES_PER_DOC) -> DataFra
 
 
 def term_frequencies(groups: DataFrame) -> DataFrame:
-    return (
-        T.each(groups, ["doc_id", "grp"], T.letters(F.col("line")), "term")
-        .groupBy("doc_id", "grp", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """``doc_id, grp, term, tf``. The lines are brought together by document, so that no term is shuffled."""
+    return _counted(gathered(groups, "doc_id", "grp"), ["doc_id", "grp"])
+
+
+def _counted(groups: DataFrame, keys: list[str]) -> DataFrame:
+    return T.each(groups, keys, T.letters(F.col("line")), "term").groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -53,21 +57,39 @@ def bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
-def blocks(tf: DataFrame) -> DataFrame:
+def block_term_frequencies(groups: DataFrame) -> DataFrame:
+    """``*BLOCK, stretch, doc_id, grp, term, tf``, the documents of a stretch of a block in one partition."""
+    placed = groups.withColumns({**_block(), "stretch": F.floor(F.col("doc_id") / DOCS_PER_STRETCH)})
+    keys = [*BLOCK, "stretch"]
+    return _counted(gathered(placed, *keys), [*keys, "doc_id", "grp"])
+
+
+def _block() -> dict[str, Column]:
+    return {"doc_block": F.floor(F.col("doc_id") / DOCS_PER_SEGMENT), "grp_block": F.floor(F.col("grp") / GROUPS_PER_SEGMENT)}
+
+
+def blocks(tf: DataFrame, parts: int | None = None) -> DataFrame:
     """``bucket, term, doc_block, grp_block, n, most, postings``: one row a block, postings sorted by document.
 
-    Rows are range-partitioned on the key of the blocks before they are grouped, so the
-    blocks come out clustered by term without another shuffle, and the blocks of a very
-    common term lie in many partitions.
+    Postings are listed per stretch first. Rows of ``block_term_frequencies`` lie together by
+    stretch, so only lists are shuffled, to about ``parts`` partitions, by bucket and by a hash
+    of term and document block: the blocks of a very common term lie in many partitions.
     """
-    keys = ["bucket", "term", *BLOCK]
-    placed = tf.withColumns({
-        "bucket": bucket(F.col("term")), "doc_block": F.floor(F.col("doc_id") / DOCS_PER_SEGMENT),
-        "grp_block": F.floor(F.col("grp") / GROUPS_PER_SEGMENT)})
+    spark, keys = tf.sparkSession, ["bucket", "term", *BLOCK]
+    if "stretch" not in tf.columns:
+        tf = tf.withColumns({**_block(), "stretch": F.floor(F.col("doc_id") / DOCS_PER_STRETCH)})
+    shares = -(-(parts or int(spark.conf.get("spark.sql.shuffle.partitions"))) // BUCKETS)
+    # a row holds its numbers in three plain arrays
+    lists = tf.groupBy(*BLOCK, "stretch", "term").agg(
+        F.max("tf").alias("most"), F.sort_array(F.collect_list(F.struct("doc_id", "grp", "tf"))).alias("p")
+    ).select(*BLOCK, "term", "most", "stretch", "p.doc_id", "p.grp", "p.tf", bucket(F.col("term")).alias("bucket"),
+             F.pmod(F.xxhash64("term", "doc_block"), F.lit(shares)).alias("share"))
+    stretches = F.sort_array(F.collect_list(F.struct("stretch", "doc_id", "grp", "tf")))
+    postings = F.flatten(F.transform(stretches, lambda s: F.arrays_zip(s["doc_id"].alias("doc_id"), s["grp"].alias("grp"), s["tf"].alias("tf"))))
     return (
-        placed.repartitionByRange(*keys).groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"),
-             F.sort_array(F.collect_list(F.struct("doc_id", "grp", "tf"))).alias("postings"))
+        lists.repartition(BUCKETS * shares, "bucket", "share").groupBy("share", *keys)
+        .agg(F.max("most").alias("most"), postings.alias("postings"))
+        .select(*keys, F.size("postings").cast("long").alias("n"), "most", "postings")
     )
 
 
@@ -100,10 +122,10 @@ class StoredIndex:
         return self.postings().join(df, "term").select("term", "df", *BLOCK, "postings")
 
 
-def write_index(tf: DataFrame, path: str) -> StoredIndex:
-    """Store the index of ``tf`` under ``path``; an index already there is replaced."""
+def write_index(tf: DataFrame, path: str, parts: int | None = None) -> StoredIndex:
+    """Store the index of ``tf`` under ``path``; an index already there is replaced. ``parts``: see ``blocks``."""
     spark, order = tf.sparkSession, ["bucket", "term", *BLOCK]
-    blocks(tf).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    blocks(tf, parts).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     skips = spark.read.parquet(f"{path}/postings").select("bucket", "term", *BLOCK, "n", "most")
     skips.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/skips")
     return StoredIndex(spark, path)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marlspike.operators import index as I
+from marlspike.operators.spread import small_parts
 from marlspike.plans.registry import query
-from marlspike.plans.text import LINES, lines
+from marlspike.plans.text import LINES, each_line, lines
 from marlspike.session import checkpoint_root, exists, fingerprint, rename, scratch_path
 from marlspike.sources.tables import table
 
@@ -33,7 +34,12 @@ HITS = """
 
 
 def _tf(spark, sf):
-    return I.term_frequencies(I.line_groups(lines(spark, sf)))
+    return I.term_frequencies(I.line_groups(each_line(spark, sf)))
+
+
+def _write_index(spark, sf, path):
+    groups = I.line_groups(each_line(spark, sf))
+    return I.write_index(I.block_term_frequencies(groups), path, small_parts(groups))
 
 
 def stored_index(spark, sf):
@@ -41,7 +47,7 @@ def stored_index(spark, sf):
     path = f"{checkpoint_root(spark).rstrip('/')}/index-{fingerprint(table(spark, sf, 'documents'))}"
     if not exists(spark, f"{path}/skips/_SUCCESS"):
         new = scratch_path(spark, "index")
-        I.write_index(_tf(spark, sf), new)
+        _write_index(spark, sf, new)
         if not rename(spark, new, path):  # somebody else was faster
             return I.StoredIndex(spark, new)
     return I.StoredIndex(spark, path)
@@ -75,7 +81,7 @@ def _printed(index):
 @query("idx_build", INDEX)
 def idx_build(spark, sf):
     """The index, built anew and stored."""
-    return _printed(I.write_index(_tf(spark, sf), scratch_path(spark, "index")).lists())
+    return _printed(_write_index(spark, sf, scratch_path(spark, "index")).lists())
 
 
 @query("src_postings", INDEX)

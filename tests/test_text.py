@@ -125,6 +125,37 @@ def test_packed_pairs_take_a_few_bytes():
     assert all((a == b).all() for a, b in zip(near._unpack(data, len(keys), 2), (keys, n)))
 
 
+def test_terms_are_not_shuffled(lines):
+    """Only the lines are: later grouping by document and term stays in their partitions."""
+    tf = I.term_frequencies(I.line_groups(lines, 3))
+    plan = tf._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id" in plan
+    lists = tf.groupBy("doc_id", "grp").agg(F.collect_list("term"))
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_index_of_gathered_blocks(spark, lines, tmp_path, monkeypatch):
+    """Lists of several stretches and repeated documents give the same blocks as plain term frequencies."""
+    monkeypatch.setattr(I, "DOCS_PER_SEGMENT", 4)
+    monkeypatch.setattr(I, "DOCS_PER_STRETCH", 2)
+    monkeypatch.setattr(I, "GROUPS_PER_SEGMENT", 2)
+    many = lines.crossJoin(spark.range(11).select(F.col("id").alias("d"))).select(F.col("d").alias("doc_id"), "line_no", "line")
+    groups = I.line_groups(many.union(many.filter("doc_id = 5")), 3)
+    want = Counter()
+    for d in [*range(11), 5]:
+        for i, s in enumerate(LINES):
+            want.update((d, i // 3, t) for t in toks(s))
+    for k, tf in enumerate((I.block_term_frequencies(groups), I.term_frequencies(groups))):
+        index = I.write_index(tf, str(tmp_path / f"index{k}"), parts=40)
+        got = {}
+        for r in index.postings().collect():
+            assert r.n == len(r.postings) and r.most == max(p.tf for p in r.postings)
+            assert [(p.doc_id, p.grp) for p in r.postings] == sorted((p.doc_id, p.grp) for p in r.postings)
+            assert {(p.doc_id // 4, p.grp // 2) for p in r.postings} == {(r.doc_block, r.grp_block)}
+            got |= {(p.doc_id, p.grp, r.term): p.tf for p in r.postings}
+        assert got == want
+
+
 def test_search(spark, lines, tmp_path):
     index = I.write_index(I.term_frequencies(I.line_groups(lines, 3)), str(tmp_path / "index"))
     queries = {"a": ["fox", "dog", "dog"], "b": ["unknownterm", "fox"], "c": ["perfect"]}
