@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 from collections import Counter
@@ -224,3 +225,23 @@ def test_blocks_below_the_top_are_skipped(many_blocks):
     index, _ = many_blocks
     left = I.surviving_blocks(index, {"one": ["hot"], "three": ["hot", "warm", "cold"]}, 4)
     assert {(r.query_id, r.doc_block) for r in left.collect()} == {(q, d // 20) for q in ("one", "three") for d in (7, 307, 607, 907)}
+
+
+TEXTS = [(1, "A b a b"), (1, "a b"), (2, "x"), (3, ""), (4, None), (None, "a b c"), (None, "a"), (5, "a_b a b"), *[(6, "b a")] * 4]
+
+
+@pytest.mark.parametrize("most", [1, 3, 1000])
+def test_hashed_ngrams_of_repeated_and_null_ids(spark, monkeypatch, most):
+    monkeypatch.setattr(X, "MOST_TEXTS", most)
+    want = Counter()
+    for i, s in TEXTS:
+        t = re.findall("[a-z0-9]+", (s or "").lower())
+        want.update((i, int(hashlib.md5(g.encode()).hexdigest(), 16) % 1024) for g in [*t, *map("_".join, zip(t, t[1:]))])
+    got = X.hashed_ngrams(spark.createDataFrame(TEXTS, "d long, s string"), "d", "s", 1024).collect()
+    assert len(got) == len(want) and {(r.d, r.idx): r.n for r in got} == want
+
+
+def test_grams_are_not_shuffled(spark):
+    """Only the texts are, and they are cut into words once."""
+    plan = X.hashed_ngrams(spark.createDataFrame(TEXTS, "d long, s string"), "d", "s")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("[^a-z0-9]+") == 1
