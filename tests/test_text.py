@@ -68,6 +68,19 @@ def test_stripe_segments_are_whole_and_small(spark):
             assert place.setdefault(item, r.segment) == r.segment
 
 
+@pytest.mark.parametrize("most", [0, 2, 1 << 15])
+def test_large_stripes_are_dealt_and_others_whole(lines, monkeypatch, most):
+    monkeypatch.setattr(X, "MOST_FOLLOWERS", most)
+    counts = X.bigram_counts(lines)
+    assert rows(X.stripe_relative_frequencies(counts, 3)) == rows(X.relative_frequencies(counts))
+
+
+def test_stripes_are_shuffled_once(lines):
+    """Heads are gathered as plain rows; neither their lists nor a join with their totals is shuffled."""
+    plan = X.stripe_relative_frequencies(X.bigram_counts(lines))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def brute_pmi(units, threshold, distance):
     units = [u for u in units if len(set(u)) > 1]
     n = Counter(t for u in units for t in set(u))
