@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marlspike.llm.scratch import stored
+from marlspike.llm.scratch import dropped, stored
 
 
 def _smallest(both: DataFrame, label: str) -> DataFrame:
@@ -28,11 +28,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     before = _signature(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_smallest(both, "large"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = _smallest(both, "large")
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.distinct(), "edges")  # v < u: every node hangs on smaller ones
         low = _smallest(large, "small")
         hung = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-        now = stored(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, now = now, stored(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        dropped(last, least, large, low)
         after = _signature(now)
         if after == before:
             break

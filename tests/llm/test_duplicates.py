@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
@@ -11,6 +12,7 @@ import pytest
 from marlspike.llm import induced, ngram_join, suffix_dedup, vector_links
 from marlspike.llm.components import components
 from marlspike.llm.prefix_tree import linked
+from marlspike.session import checkpoint_root
 from tests.llm.helpers import awkward, documents, prose, sentences
 
 
@@ -85,6 +87,42 @@ def test_units_of_a_large_candidate_component_stay_bounded(spark, monkeypatch):
     assert len(seen) > 5 and max(seen.values()) <= 2 * (unit + max(sizes[i][0] for i in sizes))
 
 
+def test_copies_are_compared_once_and_leave_little_behind(spark, monkeypatch):
+    rnd = random.Random(12)
+    bases = [sentences(700 + k, 120, 5000) for k in range(4)]
+    rows = [(40 * k + i, base if i % 2 else base.replace(" ", f" x{rnd.randrange(10**6)} ", 1)) for k, base in enumerate(bases) for i in range(40)]
+    rows += [(500 + k, sentences(800 + k, 60, 5000)) for k in range(10)]
+    # documents of two texts connect those that have either, short as they are
+    rows += [(603, "one two"), (607, "one two"), (605, "three"), (607, "three")]
+    want, _ = brute_groups(rows, 5, 80)
+    most, write, root = collections.Counter(), ngram_join.stored, checkpoint_root(spark).removeprefix("file:")
+
+    def spied(df, label):
+        out = write(df, label)
+        most[label] = max(most[label], out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", spied)
+    there = set(os.listdir(root))
+    out = ngram_join.near_groups(documents(spark, rows))
+    left = {x.split("-")[0] for x in set(os.listdir(root)) - there}
+    assert all(r["component_id"] == want[r["doc_id"]] for r in out.collect()) and len({want[r[0]] for r in rows}) == 15
+    assert max(most.values()) <= 6 * len(rows), most  # not a row for each member of each copy
+    assert not left & {"order", "sets", "classes", "keys", "pairs", "large", "small"}, left
+
+
+def test_labels_change_no_group(spark, monkeypatch):
+    rnd = random.Random(13)
+    base = [sentences(900 + k, 60, 400).split() for k in range(6)]
+    rows = [(i, " ".join(w if rnd.random() > 0.012 * (i % 4) else f"y{rnd.randrange(99)}" for w in base[i % 6])) for i in range(120)]
+    want, _ = brute_groups(rows, 3, 80)
+    assert 6 < len(set(want.values())) < 110
+    for few in (2, 16):  # stars, then pairs
+        monkeypatch.setattr(ngram_join, "FEW", few)
+        got = ngram_join.near_groups(documents(spark, rows), 3, 80).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_keep_one(spark):
     docs = documents(spark, awkward(), clashing=True)
     out = ngram_join.keep_one(docs)
