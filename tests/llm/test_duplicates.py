@@ -2,7 +2,6 @@
 
 import collections
 import hashlib
-import os
 import random
 import re
 
@@ -12,7 +11,7 @@ import pytest
 from marlspike.llm import induced, ngram_join, suffix_dedup, vector_links
 from marlspike.llm.components import components
 from marlspike.llm.prefix_tree import linked
-from marlspike.session import checkpoint_root
+from marlspike.session import exists
 from tests.llm.helpers import awkward, documents, prose, sentences
 
 
@@ -95,17 +94,18 @@ def test_copies_are_compared_once_and_leave_little_behind(spark, monkeypatch):
     # documents of two texts connect those that have either, short as they are
     rows += [(603, "one two"), (607, "one two"), (605, "three"), (607, "three")]
     want, _ = brute_groups(rows, 5, 80)
-    most, write, root = collections.Counter(), ngram_join.stored, checkpoint_root(spark).removeprefix("file:")
+    most, made, write = collections.Counter(), {}, ngram_join.stored
 
     def spied(df, label):
         out = write(df, label)
         most[label] = max(most[label], out.count())
+        made[out.scratch] = label
         return out
 
     monkeypatch.setattr(ngram_join, "stored", spied)
-    there = set(os.listdir(root))
+    monkeypatch.setattr("marlspike.llm.components.stored", spied)
     out = ngram_join.near_groups(documents(spark, rows))
-    left = {x.split("-")[0] for x in set(os.listdir(root)) - there}
+    left = {label for path, label in made.items() if exists(spark, path)}
     assert all(r["component_id"] == want[r["doc_id"]] for r in out.collect()) and len({want[r[0]] for r in rows}) == 15
     assert max(most.values()) <= 6 * len(rows), most  # not a row for each member of each copy
     assert not left & {"order", "sets", "classes", "keys", "pairs", "large", "small"}, left
